@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import simhash
+from corpusmill.llm import decontam, langid, lm, mixing, pfor, quality, resample, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_ids": pfor.query,
+        "op2_lm_score": lm.query,
+        "op3_mixing": mixing.query,
+        "op6_decontamination": decontam.query,
+        "op7_quality_rules": quality.query,
+        "op8_importance_resampling": resample.query,
         "op9_simhash": simhash.query,
+        "op10_language_id": langid.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": decontam.SQL}
