@@ -111,12 +111,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same pairs by brute force: all shingles of all documents against all shingles of all items.
 SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM d WHERE len(w) > 0),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d WHERE len(w) > 0),
 bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM b WHERE len(w) > 0),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM b WHERE len(w) > 0),
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
 c AS (SELECT doc_id, item_id, count(*) AS k FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n AS n_shingles, k AS n_shared, round(k / n, 6) AS containment

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontam, langid, lm, mixing, pfor, quality, resample, simhash
+from corpusmill.llm import decontam, html, langid, lm, mixing, pfor, quality, quotes, resample, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_ids": pfor.query,
         "op2_lm_score": lm.query,
         "op3_mixing": mixing.query,
+        "op4_html_extraction": html.query,
+        "op5_quotation_linking": quotes.query,
         "op6_decontamination": decontam.query,
         "op7_quality_rules": quality.query,
         "op8_importance_resampling": resample.query,
@@ -23,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": decontam.SQL}
+    return {"op5_quotation_linking": quotes.SQL, "op6_decontamination": decontam.SQL}
