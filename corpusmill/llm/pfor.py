@@ -155,7 +155,7 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
             s = w.lower()
             core = s.rstrip(b".,;:!?")
             # a letter and a mark are always cut apart, so words with and without the mark share their ids
-            if core != s and core and core.decode("utf-8", "replace")[-1].isalpha():
+            if core != s and core and core.decode("utf-8", "replace").lower()[-1].isalpha():
                 todo[w] = (core, s[len(core) :])
             else:
                 todo[w] = (s, b"")
