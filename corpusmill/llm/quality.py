@@ -66,6 +66,9 @@ def line_fails(line: str, rules: Rules = Rules()) -> str | None:
     """The name of the first rule that the line fails, or None. The line must have a word."""
     words = line.split()
     n = len(words)
+    cuts = len(SEPARATORS.findall(line))
+    if cuts >= 2 and cuts * 4 >= n:
+        return "navigation"
     if sum(map(line.count, "#*$%&|<>")) > rules.max_symbols_per_word * n:
         return "symbols"
     if n >= rules.shout_words and line.isupper():
@@ -76,8 +79,6 @@ def line_fails(line: str, rules: Rules = Rules()) -> str | None:
             return "navigation"
         if not MARKS.search(line):
             return "punctuation"
-    if len(SEPARATORS.findall(line)) >= 2 and len(SEPARATORS.findall(line)) * 4 >= n:
-        return "navigation"
     if n <= rules.boilerplate_words and BOILERPLATE.search(line):
         return "boilerplate"
     if n >= rules.repeat_words and len(set(words)) < rules.min_distinct * n:
