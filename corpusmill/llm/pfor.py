@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -45,7 +46,9 @@ PERCENTILES = (50, 75, 90, 95, 98, 100)
 #: A segment is closed at the first document end after so many ids.
 SEGMENT = 1 << 18
 #: Words remembered by a worker with their ids; beyond that it starts anew.
-CACHE = 600_000
+CACHE = 900_000
+#: Words that are encoded as one text.
+LINE = 256
 
 _encoders: dict[str, Callable] = {}
 
@@ -145,34 +148,58 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
     tokenizer = Tokenizer.from_file(path)
     known: dict[bytes, bytes] = {}
+    closes = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
+    closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def learn_each(words: list[bytes]) -> None:
+        got = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, got))
+
+    def learn_lines(words: list[bytes]) -> None:
+        """Words of letters, each at least one word to the tokenizer: a line of them is encoded at once and cut where a word ends."""
+        parts = [words[k : k + LINE] for k in range(0, len(words), LINE)]
+        got = tokenizer.encode_batch_fast([b" ".join(p).decode("utf-8", "replace") for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, got):
+            ids = np.array(e.ids, "<u4")
+            ends = (np.flatnonzero(closes[ids]) + 1) * 4
+            if len(ends) != len(part) or (len(ids) and ends[-1] != 4 * len(ids)):
+                learn_each(part)  # one of them is cut into several
+                continue
+            raw, ends = ids.tobytes(), ends.tolist()
+            known.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+
+    def is_letter(core: bytes) -> bool:
+        return 97 <= core[-1] <= 122 or unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()[-1:].isalpha()
 
     def learn(words: set[bytes]) -> None:
-        todo: dict[bytes, tuple[bytes, bytes]] = {}
+        new, derived = set(), []
         for w in words:
             if b"<|" in w:  # may be a special token: as it is
-                todo[w] = (w, b"")
+                new.add(w)
                 continue
             s = w.lower()
             core = s.rstrip(b".,;:!?")
             # a letter and a mark are always cut apart, so words with and without the mark share their ids
-            if core != s and core and core.decode("utf-8", "replace").lower()[-1].isalpha():
-                todo[w] = (core, s[len(core) :])
+            if core != s and core and is_letter(core):
+                tail = s[len(core) :]
+                derived.append((w, core, tail))
+                new.add(tail)
+                new.add(core)
             else:
-                todo[w] = (s, b"")
-        new = list({x for pair in todo.values() for x in pair if x and x not in known})
-        got = tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
-        for x, e in zip(new, got):
-            known[x] = np.array(e.ids, "<u4").tobytes()
-        for w, (a, b) in todo.items():
-            if w != a:
-                known[w] = known[a] + known[b] if b else known[a]
+                new.add(s)
+                if s != w:
+                    derived.append((w, s, b""))
+        new -= known.keys()
+        plain = [w for w in new if w.isalpha() or not w.isascii() and w.decode("utf-8", "replace").lower().isalpha()]
+        learn_lines(plain)
+        learn_each(list(new.difference(plain)))
+        known.update((w, known[a] + known[b] if b else known[a]) for w, a, b in derived)
 
     def encode(texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        words = {w for ws in split for w in ws}
         if len(known) > CACHE:
             known.clear()
-        learn(words - known.keys())
+        learn(set().union(*split) - known.keys())
         get = known.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
