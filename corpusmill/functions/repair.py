@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 _BROKEN = re.compile(r"[ÂÃâÅÄð][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ¡-¿]")
+_RUN = re.compile(r"[\x80-\xff€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]+")
 _TERMINAL = re.compile(r"\x1b\[[0-9;]*[A-Za-z]")
 _CONTROL = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f﻿￹-￻]")
 _LINES = re.compile("\r\n|\r| | |\x85")
@@ -19,19 +20,21 @@ _LINES = re.compile("\r\n|\r| | |\x85")
 _PLAIN = str.maketrans({"‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"', "‟": '"', "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"})
 
 
+def _read_again(m: re.Match) -> str:
+    """A run of UTF-8 bytes that were read as single-byte characters; what doesn't decode is left as it is."""
+    for name in ("cp1252", "latin-1"):
+        try:
+            return m[0].encode(name).decode("utf-8")
+        except UnicodeError:
+            continue
+    return m[0]
+
+
 def _decoded(text: str) -> str:
-    """UTF-8 that was read as a single-byte encoding, read again; other text is left as it is."""
     for _ in range(3):
-        if not _BROKEN.search(text):
-            return text
-        for name in ("latin-1", "cp1252"):
-            try:
-                again = text.encode(name).decode("utf-8")
-            except UnicodeError:
-                continue
+        again = _RUN.sub(_read_again, text) if _BROKEN.search(text) else text
+        if again == text:
             break
-        else:
-            return text
         text = again
     return text
 
