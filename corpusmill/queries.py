@@ -107,9 +107,9 @@ _add("shingles_5", _shingle_query(5, T.tokens), _shingle_sql(5, _TOKENS))
 _add("shingles_13", _shingle_query(13, lambda c: F.slice(T.words(T.clean(c)), 1, 1000)), _shingle_sql(13, f"{_words_sql(_CLEAN)}[1:1000]"))
 _add(
     "adaptive_shingles",
-    lambda d: d.select("doc_id", F.slice(T.words(T.clean(F.col("text"))), 1, 40).alias("w")).select("doc_id", T.adaptive_shingles(F.col("w"), 13).alias("x")).select("doc_id", *_digest(F.col("x"))),
+    lambda d: d.select("doc_id", T.words(T.clean(F.col("text"))).alias("w")).select("doc_id", T.adaptive_shingles(F.col("w"), 13).alias("x")).select("doc_id", *_digest(F.col("x"))),
     "SELECT doc_id, len(x)::BIGINT AS n_items, md5(array_to_string(x, chr(1))) AS items_md5 FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN"
-    f" list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' ')) ELSE [] END AS x FROM (SELECT doc_id, {_words_sql(_CLEAN)}[1:40] AS w FROM documents))",
+    f" list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' ')) ELSE [] END AS x FROM (SELECT doc_id, {_words_sql(_CLEAN)} AS w FROM documents))",
 )
 
 _HASH32 = "('0x' || substr({0}, 7, 2) || substr({0}, 5, 2) || substr({0}, 3, 2) || substr({0}, 1, 2))::BIGINT"
