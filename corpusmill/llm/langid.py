@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import held_out, slices, table, utf8
+from corpusmill.llm.common import held_out, released, slices, table, utf8
 
 DIMENSIONS = 4096
 UNKNOWN = "und"
@@ -122,7 +122,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int, dict[str, in
             n += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS + 1, dtype=np.int32)), pa.array(np.append(df, n))], ["i", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(released(run), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(DIMENSIONS + 1, np.int64)
     for r in rows:
         df[r.i] = r.n
@@ -172,7 +172,7 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([b.column(0), pred, pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return ids.mapInArrow(run, f"doc_id {ids.schema[0].dataType.simpleString()}, lang_pred string, score double")
+    return ids.mapInArrow(released(run), f"doc_id {ids.schema[0].dataType.simpleString()}, lang_pred string, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import codes, held_out, table, utf8
+from corpusmill.llm.common import codes, held_out, released, table, utf8
 from corpusmill.session import stored
 
 #: Hashes of the marks at a text's ends; a word never holds a space.
@@ -219,7 +219,7 @@ def _blocks(docs: DataFrame, train: Column, id_col: str, text_col: str, p: Param
         if ids:
             yield close()
 
-    return rows.mapInArrow(run, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, numbers binary, hashes binary, trained long")
+    return rows.mapInArrow(released(run), f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, numbers binary, hashes binary, trained long")
 
 
 def _restore(batch: pa.RecordBatch, i: int) -> Block:
@@ -252,7 +252,7 @@ def _named(blocks: DataFrame, n_ranges: int, p: Params) -> DataFrame:
                 blobs = [[_pack(d, True) for d in delta], [_pack(counts[cuts[r] : cuts[r + 1]], True) for r in full]]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cols), *(pa.array(x, pa.binary()) for x in blobs)], ["range", "block", "n", "keys", "counts"])
 
-    return blocks.mapInArrow(run, "range int, block long, n long, keys binary, counts binary")
+    return blocks.mapInArrow(released(run), "range int, block long, n long, keys binary, counts binary")
 
 
 def _answered(named: DataFrame, n_ranges: int) -> DataFrame:
@@ -286,7 +286,7 @@ def _answered(named: DataFrame, n_ranges: int) -> DataFrame:
             yield from close()
 
     dealt = named.select("range", "block", "keys", "counts").repartition(n_ranges, "range").sortWithinPartitions("range", "block")
-    return dealt.mapInArrow(run, "block long, range int, totals binary, words long")
+    return dealt.mapInArrow(released(run), "block long, range int, totals binary, words long")
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
@@ -323,7 +323,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     result = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.join(own, "block").select("block", "ids", "held", "sizes", "numbers", "hashes", "answers").mapInArrow(run, result)
+    return blocks.join(own, "block").select("block", "ids", "held", "sizes", "numbers", "hashes", "answers").mapInArrow(released(run), result)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

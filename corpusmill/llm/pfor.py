@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusmill.llm.common import slices, table, utf8
+from corpusmill.llm.common import CACHES, released, slices, table, utf8
 from corpusmill.session import table_path
 
 BLOCK = 128
@@ -148,6 +148,7 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
     tokenizer = Tokenizer.from_file(path)
     known: dict[bytes, bytes] = {}
+    CACHES.append(known)
     closes = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
     closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
@@ -246,7 +247,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: s
     kind = rows.schema[0].dataType.simpleString()
     tie = F.xxhash64("text")
     placed = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    segments = placed.select("doc_id", "text").mapInArrow(run, f"shard int, seq int, offset long, doc_ids array<{kind}>, n_tokens array<long>, data binary")
+    segments = placed.select("doc_id", "text").mapInArrow(released(run, keeps=True), f"shard int, seq int, offset long, doc_ids array<{kind}>, n_tokens array<long>, data binary")
     segments.write.option("compression", "none").parquet(f"{path}/segments")
     spark = docs.sparkSession
     totals = spark.read.parquet(f"{path}/segments").select("shard", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
@@ -288,7 +289,7 @@ def _documents(spark: SparkSession, path: str, ids: bool) -> DataFrame:
 
     kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
     more = ", ids array<long>" if ids else ""
-    docs = segments.mapInArrow(run, f"doc_id {kind}, shard int, at long, n_tokens long, ids_crc32 long{more}")
+    docs = segments.mapInArrow(released(run), f"doc_id {kind}, shard int, at long, n_tokens long, ids_crc32 long{more}")
     shards = spark.read.parquet(f"{path}/shards")
     start = (F.col("at") + F.col("start")).alias("start")
     return docs.join(shards, "shard").select("doc_id", start, "n_tokens", "ids_crc32", *["ids"] * ids)

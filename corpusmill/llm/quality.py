@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import codes, slices, table, utf8
+from corpusmill.llm.common import Texts, codes, released, slices, table, utf8
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -132,19 +132,19 @@ def clean(text: bytes, rules: Rules = Rules()) -> tuple[str, int]:
     return "\n".join(kept), n_words
 
 
-def measure(texts: list[bytes], rules: Rules = Rules(), with_text: bool = False) -> dict[str, np.ndarray | list]:
+def measure(texts: Texts | list[bytes], rules: Rules = Rules(), with_text: bool = False) -> dict[str, np.ndarray | list]:
     """All columns of the verdict for a list of texts."""
     n = len(texts)
     out = {k: np.zeros(n, np.int64) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_clean_words")}
     cleaned: list[str | None] = [None] * n
     for a, b in slices(texts):
-        split = [t.split() for t in texts[a:b]]
+        own = texts[a:b]
+        split = [t.split() for t in own]
         sizes = np.array([len(w) for w in split], np.int64)
         number, _ = codes([w for ws in split for w in ws])
         out["n_words"][a:b] = sizes
         out["n_repeat_words"][a:b] = repeat_words(number, np.repeat(np.arange(b - a), sizes), b - a, rules.window)
-        for i in range(a, b):
-            t = texts[i]
+        for i, t in enumerate(own, a):
             out["word_chars"][i] = len(t.translate(None, SPACES + CONTINUATION))
             out["n_symbols"][i] = len(t) - len(t.translate(None, SYMBOLS))
             out["n_dup_lines"][i] = _dup_lines(t)
@@ -172,7 +172,7 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
 
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = ids.schema[0].dataType.simpleString()
-    return ids.mapInArrow(run, f"doc_id {kind}, {COUNTS}, base_failed boolean, kept boolean")
+    return ids.mapInArrow(released(run), f"doc_id {kind}, {COUNTS}, base_failed boolean, kept boolean")
 
 
 def cleaned(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", rules: Rules = Rules()) -> DataFrame:
@@ -185,17 +185,18 @@ def cleaned(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_
     chars = columns.index(chars_col) if chars_col in columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            m = measure(utf8(b.column(at)), rules, with_text=True)
-            kept = pa.array(m["kept"])
-            arrays = list(b.columns)
-            arrays[at] = pa.array(m["text"], pa.string()).cast(b.schema.field(at).type)
-            if chars is not None:
-                n = [None if t is None else len(t) for t in m["text"]]
-                arrays[chars] = pa.array(n, pa.int64()).cast(b.schema.field(chars).type)
-            yield pa.RecordBatch.from_arrays(arrays, schema=b.schema).filter(kept)
-
-    return docs.mapInArrow(run, docs.schema)
+        for whole in batches:
+            for i, j in slices(utf8(whole.column(at))):
+                b = whole.slice(i, j - i)
+                m = measure(utf8(b.column(at)), rules, with_text=True)
+                arrays = list(b.columns)
+                arrays[at] = pa.array(m["text"], pa.string()).cast(b.schema.field(at).type)
+                if chars is not None:
+                    n = [None if t is None else len(t) for t in m["text"]]
+                    arrays[chars] = pa.array(n, pa.int64()).cast(b.schema.field(chars).type)
+                yield pa.RecordBatch.from_arrays(arrays, schema=b.schema).filter(pa.array(m["kept"]))
+
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import codes, slices, table, utf8
+from corpusmill.llm.common import codes, released, slices, table, utf8
 from corpusmill.session import stored
 
 
@@ -77,7 +77,7 @@ def model(docs: DataFrame, target: DataFrame, p: Params = Params()) -> np.ndarra
                 wanted += np.bincount(bucket[np.repeat(own[i:j], sizes)], minlength=p.buckets)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(p.buckets, dtype=np.int32)), pa.array(raw), pa.array(wanted)], ["i", "raw", "wanted"])
 
-    counted = rows.mapInArrow(run, "i int, raw long, wanted long").groupBy("i").agg(F.sum("raw").alias("raw"), F.sum("wanted").alias("wanted"))
+    counted = rows.mapInArrow(released(run), "i int, raw long, wanted long").groupBy("i").agg(F.sum("raw").alias("raw"), F.sum("wanted").alias("wanted"))
     raw, wanted = np.zeros(p.buckets), np.zeros(p.buckets)
     for r in counted.collect():
         raw[r.i], wanted[r.i] = r.raw, r.wanted
@@ -106,7 +106,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, p: Params = Params()) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(w), pa.array(w - np.log(-np.log(u)))], ["doc_id", "n_features", "log_weight", "gumbel_key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_features long, log_weight double, gumbel_key double")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {kind}, n_features long, log_weight double, gumbel_key double")
 
 
 def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096) -> float | None:

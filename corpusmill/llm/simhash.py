@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import slices, table, utf8
+from corpusmill.llm.common import Texts, released, slices, table, utf8
 from corpusmill.operators.components import connected_components
 from corpusmill.session import stored
 
@@ -40,7 +40,7 @@ LARGE = 2048
 SMALL = 12
 
 
-def fingerprints_of(texts: list[bytes], shingle: int = 3) -> np.ndarray:
+def fingerprints_of(texts: Texts | list[bytes], shingle: int = 3) -> np.ndarray:
     """The 64-bit SimHash of each text, as uint64."""
     digest, out = xxhash.xxh64_intdigest, np.zeros(len(texts), np.uint64)
     for i, text in enumerate(texts):
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return ids.mapInArrow(run, f"doc_id {ids.schema[0].dataType.simpleString()}, fp long")
+    return ids.mapInArrow(released(run), f"doc_id {ids.schema[0].dataType.simpleString()}, fp long")
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -190,7 +190,7 @@ def _bucketed(rows: DataFrame, max_bits: int, large: int | None, width: int) ->
             yield from out(kept_k, kept_f)
 
     dealt = rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(run, "kind int, a long, b long")
+    return dealt.mapInArrow(released(run), "kind int, a long, b long")
 
 
 def links(fps: DataFrame, max_bits: int = 2, large: int = LARGE) -> DataFrame:
