@@ -222,16 +222,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_b
     apart: one of them stays if there is a component of null ids alone.
     """
     marks = near_duplicates(docs, id_col, text_col, max_bits)
-    keep = stored(
-        marks.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept"
-    )
-
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids, docs[id_col].eqNullSafe(ids["doc_id"]), "left_semi")
-
-    once = of(keep.filter("n = 1 AND doc_id IS NOT NULL"))
-    again = keep.filter("n > 1 OR doc_id IS NULL")
-    return once.union(of(again).dropDuplicates([id_col])) if again.limit(1).count() else once
+    named = F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")
+    ids = stored(marks.groupBy("doc_id").agg(F.sum(named).alias("n")), "simhash-ids")
+    # what goes is far less than what stays, so that is what is joined, at every size
+    gone = stored(ids.filter("n = 0 AND doc_id IS NOT NULL").select("doc_id"), "simhash-gone")
+    rest = docs.join(gone, docs[id_col] == gone["doc_id"], "left_anti")
+    odd = stored(ids.filter("n > 1 OR doc_id IS NULL"), "simhash-odd")
+    if not odd.limit(1).count():
+        return rest
+
+    def of(some: DataFrame, how: str) -> DataFrame:
+        return rest.join(some, rest[id_col].eqNullSafe(some["doc_id"]), how)
+
+    return of(odd, "left_anti").union(of(odd.filter("n > 0"), "left_semi").dropDuplicates([id_col]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
