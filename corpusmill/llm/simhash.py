@@ -206,13 +206,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable through links of at most max_bits bits."""
     sigs = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     firsts = stored(sigs.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = connected_components(links(firsts.select("fp"), max_bits), "a", "b")
-    joined = firsts.join(roots.withColumnRenamed("id", "fp"), "fp")
+    return grouped(sigs, firsts, links(firsts.select("fp"), max_bits), "fp")
+
+
+def grouped(sigs: DataFrame, firsts: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """sigs(doc_id, key) with component_id, from the smallest id of each key, firsts(key, first), and edges(a, b) between keys."""
+    roots = connected_components(edges, "a", "b")
+    joined = firsts.join(roots.withColumnRenamed("id", key), key)
     names = joined.groupBy("component").agg(F.min("first").alias("name"))
-    named = joined.join(names, "component").select("fp", "name")
-    # fingerprints without a link are their own component: they are the larger part, so they skip both joins
-    alone = firsts.join(roots.select(F.col("id").alias("fp")), "fp", "left_anti").select("fp", F.col("first").alias("name"))
-    return sigs.join(named.union(alone), "fp").select("doc_id", "fp", F.col("name").alias("component_id"))
+    named = joined.join(names, "component").select(key, "name")
+    # keys without a link are their own component: they are the larger part, so they skip both joins
+    alone = firsts.join(roots.select(F.col("id").alias(key)), key, "left_anti").select(key, F.col("first").alias("name"))
+    return sigs.join(named.union(alone), key).select("doc_id", key, F.col("name").alias("component_id"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 2) -> DataFrame:
@@ -221,7 +226,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_b
     Of rows that repeat that id one stays. Rows with a null id can't be told
     apart: one of them stays if there is a component of null ids alone.
     """
-    marks = near_duplicates(docs, id_col, text_col, max_bits)
+    return one_of_each(docs, near_duplicates(docs, id_col, text_col, max_bits), id_col)
+
+
+def one_of_each(docs: DataFrame, marks: DataFrame, id_col: str) -> DataFrame:
+    """docs with one document of each component of marks(doc_id, component_id), by the rules of dedup."""
     named = F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")
     ids = stored(marks.groupBy("doc_id").agg(F.sum(named).alias("n")), "simhash-ids")
     # what goes is far less than what stays, so that is what is joined, at every size
