@@ -67,7 +67,7 @@ def _dump(r: Run) -> DataFrame:
 STAGES: dict[str, Callable[[Run], DataFrame]] = {
     "norm": _norm,
     "docfeat": lambda r: features.char_features(r.read("norm")),
-    "lang": lambda r: language.distribution(r.read("norm")),
+    "lang": lambda r: language.distribution(r.read("norm"), lines=None),  # of all lines: a head may be in another language
     "perplexity": _perplexity,
     "hash": _hash,
     "duppair": _duppair,

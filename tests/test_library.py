@@ -156,6 +156,13 @@ def test_samples_and_shapes(spark, tmp_path):
     assert {r.word for r in files.read_idf(spark, f"{tmp_path}/idf").collect()} == {"null", '"', "nan"}
 
 
+def test_lang_stage_judges_whole_texts(spark, tmp_path):
+    text = "the cat and the dog\n" * 120 + "der hund und die katze\n" * 480
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/norm")
+    got = stages.STAGES["lang"](stages.Run(spark, "", str(tmp_path), stages.Settings()))
+    assert {r.lang: round(r.frequency, 3) for r in got.collect()} == {"de": 0.8, "en": 0.2}
+
+
 def test_stages_run_and_resume(spark, tiny, tmp_path):
     done = stages.run(spark, f"{tiny}/documents.parquet", str(tmp_path))
     assert done == list(stages.STAGES)
