@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster has executors of its own
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"corpusmill-{os.getpid()}"))
     return sc._jsc.sc().getCheckpointDir().get()
@@ -66,6 +69,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: The working tables of each scope that is open, the innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Working tables that are made inside are deleted at its end. What is computed from them must be written by then."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            drop_path(spark, path)
+
+
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write df as Parquet in the shared folder; returns the path."""
     path = table_path(df.sparkSession, name)
@@ -75,6 +95,11 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written once in the shared folder and read back: lineage is cut, work is not repeated."""
+    """df, written once in the shared folder and read back: lineage is cut, work is not repeated.
+
+    The table is deleted with the scope in which it is made; without one it stays, for df may be read at any time.
+    """
     path = write_table(df, name)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
