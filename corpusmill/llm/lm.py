@@ -17,8 +17,14 @@ blocks of about ``block_words`` words. Each block names its distinct n-grams by
 64-bit hashes and deals them out by hash range; each range sums the counts of
 all blocks and answers every block for the n-grams that it named. With its
 answers a block builds the part of the automaton that its texts can reach.
-What is exchanged grows with the distinct n-grams of each block. A hot n-gram is
-one entry a block, so no range is larger for it.
+
+Were every block to write to every range at once, the pieces would grow with
+the square of the corpus. So no more than about ``fan`` blocks meet at a time: they are
+summed up and cut into finer ranges, then ``fan`` of such sums meet, level by
+level, until a range has met all blocks; the answers go back the same way. A
+block has the same number of pieces on each level, and the levels grow with
+the logarithm of the corpus. A hot n-gram is one entry a block, so no range is
+larger for it.
 
 Two different n-grams are taken as one if their 64-bit hashes agree.
 
@@ -58,6 +64,7 @@ class Params:
     mu: tuple[float, ...] = (200.0, 20.0)
     block_words: int = 1_000_000
     keys_a_range: int = 3_000_000
+    fan: int = 256
 
 
 def _pack(x: np.ndarray, planes: bool = False) -> bytes:
@@ -228,65 +235,115 @@ def _restore(batch: pa.RecordBatch, i: int) -> Block:
     return Block(numbers, np.array(col("sizes"), np.int64), np.array(col("held"), bool), np.frombuffer(col("hashes"), np.uint64))
 
 
-def _ranges(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where each of n equal ranges of the key space begins in the sorted keys."""
-    limits = np.array([(k << 64) // n for k in range(n)], np.uint64)
-    return np.append(np.searchsorted(keys, limits), len(keys))
+def levels(n_blocks: int, partitions: int, p: Params) -> tuple[int, int]:
+    """On how many levels blocks meet, and by how many bits of the keys each level cuts finer ranges."""
+    ranges = max(partitions, -(-n_blocks * p.block_words // p.keys_a_range))
+    n = 1
+    while p.fan**n < n_blocks:
+        n += 1
+    return n, max(1, -(-(ranges - 1).bit_length() // n))
+
+
+def _pieces(keys: np.ndarray, counts: np.ndarray, low: int, depth: int, bits: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Sorted keys of the range `low` at depth - 1, cut into those of the next depth: the ranges, keys and counts of each."""
+    first = low << bits
+    limits = [((first + k) << (64 - bits * depth)) for k in range(1, 1 << bits)]
+    cuts = [0, *np.searchsorted(keys, np.array(limits, np.uint64)).tolist(), len(keys)]
+    full = [k for k in range(1 << bits) if cuts[k] < cuts[k + 1]]
+    delta = [_pack(np.diff(keys[cuts[k] : cuts[k + 1]], prepend=np.uint64(0)), True) for k in full]
+    return [first + k for k in full], delta, [_pack(counts[cuts[k] : cuts[k + 1]].astype(np.uint64), True) for k in full]
+
+
+#: What meets: the pieces of a range, and of a group of blocks, that somebody (by) asks about, or the answers to finer ranges (kind 1).
+PIECES = "range long, grp long, kind int, by long, keys binary, counts binary"
+ANSWERS = "range long, by long, totals binary, words long"
+
+
+def _batch(schema: str, cols: list[list]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], [n for n, _ in fields])
 
 
-def _named(blocks: DataFrame, n_ranges: int, p: Params) -> DataFrame:
-    """(range, block, n, keys, counts): what each block asks each range."""
+def _named(blocks: DataFrame, n_levels: int, bits: int, p: Params) -> DataFrame:
+    """The pieces that blocks ask about on the first level. Blocks fall into groups by their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                b = _restore(batch, i)
+                b, block = _restore(batch, i), batch.column(0)[i].as_py()
                 b.count(p.order)
                 keys = np.concatenate(b.keys)
                 by = np.argsort(keys)
-                keys, counts = keys[by], np.concatenate(b.counts)[by].astype(np.uint32)
-                cuts = _ranges(keys, n_ranges)
-                full = np.flatnonzero(np.diff(cuts))
-                delta = [np.diff(keys[cuts[r] : cuts[r + 1]], prepend=np.uint64(0)) for r in full]
-                cols = [full.astype(np.int32), np.full(len(full), batch.column(0)[i].as_py()), np.diff(cuts)[full]]
-                blobs = [[_pack(d, True) for d in delta], [_pack(counts[cuts[r] : cuts[r + 1]], True) for r in full]]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), *(pa.array(x, pa.binary()) for x in blobs)], ["range", "block", "n", "keys", "counts"])
+                where, delta, counts = _pieces(keys[by], np.concatenate(b.counts)[by], 0, 1, bits)
+                grp = xxhash.xxh64_intdigest(block.to_bytes(8, "little")) % p.fan**n_levels // p.fan
+                n = len(where)
+                yield _batch(PIECES, [where, [grp] * n, [0] * n, [block] * n, delta, counts])
 
-    return blocks.mapInArrow(released(run), "range int, block long, n long, keys binary, counts binary")
+    return blocks.mapInArrow(released(run), PIECES)
 
 
-def _answered(named: DataFrame, n_ranges: int) -> DataFrame:
-    """(block, range, totals, words): corpus counts in the order of the asking block's keys; words: distinct training words, once a range."""
+def _met(pieces: DataFrame, level: int, gives: str, top: bool, bits: int, partitions: int, p: Params) -> DataFrame:
+    """What comes of the pieces that meet by range and group.
 
+    gives ANSWERS, to all who asked, by the sums on the top level and else by the
+    answers to finer ranges that are among the pieces; or gives PIECES: the sums
+    as pieces of finer ranges, about which the group asks.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, asked = None, []
+        at, asked, answers = None, [], []
 
         def close() -> Iterator[pa.RecordBatch]:
             keys = [np.cumsum(_unpack(k, "<u8", True), dtype=np.uint64) for _, k, _ in asked]
-            counts = [_unpack(c, "<u4", True) for _, _, c in asked]
             found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(found)).astype(np.uint64)
-            words = int((((found & np.uint64(3)) == 0) & (total > 0)).sum())
+            if answers:
+                total = np.concatenate([_unpack(x, "<u8", True) for x in answers])
+            else:
+                counts = np.concatenate([_unpack(c, "<u8", True) for _, _, c in asked])
+                total = np.bincount(inverse, weights=counts, minlength=len(found)).astype(np.uint64)
+                if gives == PIECES:
+                    where, delta, sums = _pieces(found, total, at[0], level + 1, bits)
+                    n = len(where)
+                    yield _batch(PIECES, [where, [at[1] // p.fan] * n, [0] * n, [at[1]] * n, delta, sums])
+                    return
+            words = int((((found & np.uint64(3)) == 0) & (total > 0)).sum()) if top else 0
             lo = 0
-            for nth, ((block, _, _), k) in enumerate(zip(asked, keys)):
+            for nth, ((by, _, _), k) in enumerate(zip(asked, keys)):
                 blob = _pack(total[inverse[lo : lo + len(k)]], True)
                 lo += len(k)
-                row = [pa.array([block]), pa.array([at], pa.int32()), pa.array([blob], pa.binary()), pa.array([0 if nth else words])]
-                yield pa.RecordBatch.from_arrays(row, ["block", "range", "totals", "words"])
+                yield _batch(ANSWERS, [[at[0]], [by], [blob], [0 if nth else words]])
 
         for batch in batches:
-            r, b, k, c = (batch.column(i).to_pylist() for i in range(4))
-            for row in zip(r, b, k, c):
-                if row[0] != at and asked:
+            for where, grp, kind, by, k, c in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if (where, grp) != at and asked:
                     yield from close()
-                    asked = []
-                at = row[0]
-                asked.append(row[1:])
+                    asked.clear()
+                    answers.clear()
+                at = where, grp
+                if kind:
+                    answers.append(k)
+                else:
+                    asked.append((by, k, c))
         if asked:
             yield from close()
 
-    dealt = named.select("range", "block", "keys", "counts").repartition(n_ranges, "range").sortWithinPartitions("range", "block")
-    return dealt.mapInArrow(released(run), "block long, range int, totals binary, words long")
+    # ranges are alike in size, so dealing them out in turn is even
+    dealt = pieces.repartitionById(partitions, F.pmod(F.col("range") + F.col("grp") * (1 << bits), F.lit(partitions)).cast("int")).sortWithinPartitions("range", "grp", "kind", "by")
+    return dealt.mapInArrow(released(run), gives)
+
+
+def exchanged(blocks: DataFrame, n_levels: int, bits: int, partitions: int, p: Params) -> tuple[DataFrame, int]:
+    """(range, by, totals, words) that answer each block, by, and the number of distinct training words."""
+    pieces = [_named(blocks, n_levels, bits, p)]
+    for level in range(1, n_levels):
+        pieces[-1] = stored(pieces[-1], "lm-pieces")  # for the way back
+        pieces.append(_met(pieces[-1], level, PIECES, False, bits, partitions, p))
+    answers = stored(_met(pieces.pop(), n_levels, ANSWERS, True, bits, partitions, p), "lm-answers")
+    words = answers.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    for level in range(n_levels - 1, 0, -1):
+        finer = answers.select(F.shiftright("range", bits).alias("range"), F.col("by").alias("grp"), F.lit(1).alias("kind"), F.col("range").alias("by"), F.col("totals").alias("keys"), F.lit(None).cast("binary").alias("counts"))
+        answers = stored(_met(pieces.pop().union(finer), level, ANSWERS, False, bits, partitions, p), "lm-answers")
+    return answers, words
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
@@ -298,11 +355,11 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     blocks = stored(_blocks(docs, train, id_col, text_col, p), "lm-blocks")
     n_blocks, tokens = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("trained"), F.lit(0))).first()
-    # enough ranges for one to hold a bounded number of named n-grams
-    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_blocks * p.block_words // p.keys_a_range))
-    answers = stored(_answered(_named(blocks, n_ranges, p), n_ranges), "lm-answers")
-    words = answers.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    own = answers.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("range", "totals"))).alias("answers"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_levels, bits = levels(n_blocks, partitions, p)
+    partitions = 1 << bits if n_levels == 1 else max(partitions, -(-n_blocks * p.block_words // p.keys_a_range))
+    answers, words = exchanged(blocks, n_levels, bits, partitions, p)
+    own = answers.groupBy(F.col("by").alias("block")).agg(F.array_sort(F.collect_list(F.struct("range", "totals"))).alias("answers"))
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,13 +43,13 @@ def brute(rows, order, mu):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_equal_brute_force(spark, order):
+@pytest.mark.parametrize("order,fan", [(1, 256), (2, 256), (3, 256), (2, 2), (3, 3)])
+def test_scores_equal_brute_force(spark, order, fan):
     words = "the of a The cat dog runs, sleeps. and é".split()
     rows = [(i, " ".join(words[(i * k * k + k) % (3 + i % 7)] for k in range(i % 23))) for i in range(60)]
     rows += [(100, None), (None, "the cat"), (7, "the cat"), (101, "never seen words"), (102, "the of " * 3000)]
     df = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, score double").repartition(3)
-    p = lm.Params(order=order, mu=(4.0, 2.0), block_words=50, keys_a_range=40)
+    p = lm.Params(order=order, mu=(4.0, 2.0), block_words=50, keys_a_range=40, fan=fan)
     got = lm.score(df, ~held_out(F.col("doc_id"), 7), p=p).collect()
     want = brute(rows, order, p.mu)
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
@@ -59,6 +59,31 @@ def test_scores_equal_brute_force(spark, order):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
 
 
+def test_pieces_grow_with_the_blocks(spark):
+    """Not with their square: a block has about as many pieces at every size, and a level more for 256 times the blocks."""
+    p = lm.Params()
+    for n in (10, 1000, 10**5, 10**7, 10**9):
+        n_levels, bits = lm.levels(n, 200, p)
+        assert 2 ** (n_levels * bits) * p.keys_a_range >= n * p.block_words and p.fan**n_levels >= n
+        assert 2**bits <= 256 and n_levels <= 4
+
+    made = []
+    p = lm.Params(block_words=30, keys_a_range=60, fan=4)
+    for n in (40, 160):
+        df = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 97}" for k in range(40))) for i in range(n)], "doc_id long, text string").repartition(2)
+        blocks = lm._blocks(df, F.lit(True), "doc_id", "text", p)
+        n_blocks = blocks.count()
+        n_levels, bits = lm.levels(n_blocks, 2, p)
+        rows, pieces = 0, lm._named(blocks, n_levels, bits, p)
+        for level in range(1, n_levels + 1):
+            pieces = pieces.persist()
+            rows += pieces.count()
+            if level < n_levels:
+                pieces = lm._met(pieces, level, lm.PIECES, False, bits, 4, p)
+        made.append(rows / n_blocks / n_levels)
+    assert made[1] < 1.6 * made[0]
+
+
 def test_probabilities_sum_to_one():
     import numpy as np
 
