@@ -90,6 +90,77 @@ def test_flow_prefers_fresh_words():
         assert sum(w for (k, _), w in flow.items() if k == i) <= 2 * size + 1e-6
 
 
+def cheapest(patterns, quota, repeats):
+    """(words, cost) of the largest flow at the least cost, by Bellman-Ford one word at a time."""
+    n, sources = len(patterns), list(quota)
+    sink = 1 + n + len(sources)
+    arcs = [[0, 1 + i, size, k + 1] for i, (_, size) in enumerate(patterns) for k in range(repeats)]
+    arcs += [[1 + i, 1 + n + sources.index(s), 10**6, 0] for i, (who, _) in enumerate(patterns) for s in who]
+    arcs += [[1 + n + j, sink, quota[s], 0] for j, s in enumerate(sources)]
+    arcs = [a for u, v, c, w in arcs for a in ([u, v, c, w], [v, u, 0, -w])]
+    words = cost = 0
+    while True:
+        far, came = {0: 0}, {}
+        for _ in range(sink):
+            for k, (u, v, room, w) in enumerate(arcs):
+                if room and u in far and far[u] + w < far.get(v, 10**9):
+                    far[v], came[v] = far[u] + w, k
+        if sink not in far:
+            return words, cost
+        at = sink
+        while at:
+            k = came[at]
+            arcs[k][2] -= 1
+            arcs[k ^ 1][2] += 1
+            at = arcs[k][0]
+        words, cost = words + 1, cost + far[sink]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.sampled_from("abc"), min_size=1), st.integers(0, 6)), max_size=4), st.tuples(*[st.integers(0, 12)] * 3), st.integers(1, 3))
+def test_flow_is_the_cheapest(patterns, quotas, repeats):
+    patterns, quota = [(tuple(sorted(who)), n) for who, n in patterns], dict(zip("abc", quotas))
+    flow = mixing.min_cost_flow(patterns, {k: float(v) for k, v in quota.items()}, repeats)
+    taken = [sum(w for (i, _), w in flow.items() if i == k) for k in range(len(patterns))]
+    cost = sum(min(size, max(0, t - k * size)) * (k + 1) for (_, size), t in zip(patterns, taken) for k in range(repeats))
+    assert (round(sum(taken)), round(cost)) == cheapest(patterns, quota, repeats)
+    assert all(t <= repeats * size + 1e-6 for (_, size), t in zip(patterns, taken))
+    for s, q in quota.items():
+        assert sum(w for (_, k), w in flow.items() if k == s) <= q + 1e-6
+
+
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(2)
+    sizes = {f"s{i}é" if i % 3 else f"S{i}": int(rng.integers(0, 400) ** 2) for i in range(200)} | {None: 77}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long").repartition(5)
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    want = mixing.targets(sizes)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_mix_of_more_sources_than_come_to_the_driver(spark):
+    rows = [(i, "w " * (20 + i % 13), f"host{i % 40}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few, many = (sorted(tuple(r) for r in mixing.mix(df, F.array("source"), p=mixing.Params(max_patterns=n)).collect()) for n in (1000, 10))
+    assert few == many and sum(r[-1] for r in few) == pytest.approx(1.5 * sum(len(t.split()) for _, t, _ in rows), rel=0.05)
+
+
+@pytest.mark.parametrize("ids", [lambda i: 7, lambda i: None, lambda i: i % 9])
+def test_repeated_and_null_ids_are_taken_as_often_as_said(spark, ids):
+    rows = [(ids(i), "same words" if i % 4 == 0 else "w " * (5 + i % 31), "ab"[i % 2], i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    taken = mixing.mix(df, F.array("source")).groupBy("source").agg(F.sum("taken").alias("n")).collect()
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    words = Counter()
+    for r in out.collect():
+        words[r.source] += len(r.text.split())
+    assert words == {r.source: r.n for r in taken}
+    most = Counter((r.doc_id, r.text, r.source, r.copies) for r in out.collect())
+    there = Counter(rows)
+    assert all(n <= 2 * there[k] for k, n in most.items())
+
+
 def test_mix_comes_near_and_reruns_agree(spark, tiny):
     rows = mixing.query(spark, tiny).collect()
     assert sorted(map(str, rows)) == sorted(map(str, mixing.query(spark, tiny).collect()))
@@ -126,30 +197,33 @@ def test_mix_with_overlapping_sources(spark):
 def test_containment_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vocabulary = [f"w{i}" for i in range(40)]
-    items = [(i, " ".join(rng.choice(vocabulary, n))) for i, n in enumerate([1, 3, 5, 6, 9, 12, 20, 33, 60])] + [(90, None), (91, "")]
+    items = [(i, " ".join(rng.choice(vocabulary, n))) for i, n in enumerate([1, 3, 2, 5, 6, 9, 12, 20, 60])] + [(90, None), (91, "")]
     docs = []
     for i in range(120):
         parts = [" ".join(rng.choice(vocabulary, rng.integers(1, 80)))]
         if i % 2:
             w = items[i % 9][1].split()
-            for _ in range(i % 4):
+            for _ in range(i % 4 if i % 5 else 0):
                 w[rng.integers(len(w))] = "Other,"
             parts.insert(i % 3, " ".join(w).upper() + "!")
         docs.append((i, " ".join(parts)))
+    docs += [(203, " ".join(["lead"] * 30 + [items[1][1], *["tail"] * 30])), (204, "lead " * 30 + items[0][1]), (205, "lead " * 30 + items[2][1] + "?")]
     docs += [(200, items[1][1]), (201, None), (202, ""), (None, items[8][1]), (7, docs[7][1])]
 
     def grams(t):
         import regex
 
         w = regex.findall(r"[\p{L}\p{M}\p{N}]+", (t or "").lower())
-        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+        return [{tuple(w[k : k + n]) for k in range(len(w) - n + 1)} for n in range(1, 6)]
 
     want = set()
     for i, t in docs:
+        runs = set().union(*grams(t))
         for k, q in items:
-            g = grams(q)
-            if g and len(g & grams(t)) * 100 >= 80 * len(g):
-                want.add((i, k, len(g), len(g & grams(t))))
+            g = next((x for x in reversed(grams(q)) if x), set())  # of five words, or the whole of a shorter item
+            if g and len(g & runs) * 100 >= 80 * len(g):
+                want.add((i, k, len(g), len(g & runs)))
+    assert {(203, 1), (204, 0), (205, 2)} <= {w[:2] for w in want}  # short items in longer texts
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     b = spark.createDataFrame(items, "item_id long, text string")
     for p in (decontam.Params(), decontam.Params(broadcast_rows=0)):
