@@ -269,12 +269,15 @@ def mixed_documents(docs: DataFrame, source_col: str = "source", id_col: str = "
     even = F.col("_sum") % F.col("_n") == 0
     groups = stored(groups.withColumn("_even", even), "mix-copies")
 
+    # a row of docs is one column here, so that no name clashes with its columns
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(source_col).cast("string").alias("src"))
+
     def of(some: DataFrame) -> DataFrame:
-        on = docs[id_col].eqNullSafe(some["_id"]) & (F.xxhash64(docs[text_col].cast("string")) == some["_th"]) & docs[source_col].cast("string").eqNullSafe(some["_source"])
-        return docs.join(some, on)
+        return rows.join(some, rows["id"].eqNullSafe(some["_id"]) & (rows["th"] == some["_th"]) & rows["src"].eqNullSafe(some["_source"]))
 
     def times(found: DataFrame, n: Column) -> DataFrame:
-        return found.withColumn("_copies", n.cast("int")).filter("_copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+        copies = found.withColumn("n", n.cast("int")).filter("n > 0")
+        return copies.select("doc", F.explode(F.sequence(F.lit(1), F.col("n")))).select("doc.*")
 
     out = times(of(groups.filter("_even")), F.col("_sum") / F.col("_n"))
     odd = groups.filter("NOT _even")
@@ -282,7 +285,7 @@ def mixed_documents(docs: DataFrame, source_col: str = "source", id_col: str = "
         return out
     # equal rows are counted, not gathered, and each takes its part of those left over
     keys = ["_id", "_th", "_source"]
-    counted = of(odd).groupBy(*docs.columns, *keys, "_sum", "_n").agg(F.count(F.lit(1)).alias("_equal"))
-    before = F.coalesce(F.sum("_equal").over(Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    over = F.greatest(F.lit(0), F.least(F.col("_equal"), F.col("_sum") % F.col("_n") - before))
-    return out.union(times(counted, F.col("_equal") * F.floor(F.col("_sum") / F.col("_n")) + over))
+    counted = of(odd).groupBy("doc", *keys, "_sum", "_n").agg(F.count(F.lit(1)).alias("equal"))
+    before = F.coalesce(F.sum("equal").over(Window.partitionBy(*keys).orderBy(F.xxhash64("doc")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    over = F.greatest(F.lit(0), F.least(F.col("equal"), F.col("_sum") % F.col("_n") - before))
+    return out.union(times(counted, F.col("equal") * F.floor(F.col("_sum") / F.col("_n")) + over))
