@@ -1,9 +1,12 @@
-"""Word and character lists. More languages are given as parameters."""
+"""Word and character lists, languages, and a loader for lists of the user's own."""
 
 from __future__ import annotations
 
+import json
 import string
 
+from pyspark.sql import SparkSession
+
 PUNCTUATION = string.punctuation
 
 #: White space as str.split() knows it, as a character class.
@@ -46,3 +49,33 @@ STOPWORDS: dict[str, tuple[str, ...]] = {
     "fr": tuple("de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec ou son aux".split()),
 }
 FLAGGED: dict[str, tuple[str, ...]] = {"en": tuple("stupid moron pathetic trash loser disgusting worthless clown idiot".split())}
+
+#: The languages that are known by code, with their names.
+LANGUAGE_NAMES = {
+    "af": "Afrikaans", "ar": "Arabic", "arz": "Egyptian Arabic", "as": "Assamese", "bn": "Bengali", "ca": "Catalan", "en": "English", "es": "Spanish",
+    "eu": "Basque", "fr": "French", "gu": "Gujarati", "hi": "Hindi", "id": "Indonesian", "kn": "Kannada", "ml": "Malayalam", "mr": "Marathi",
+    "pt": "Portuguese", "sw": "Swahili", "ta": "Tamil", "te": "Telugu", "ur": "Urdu", "vi": "Vietnamese", "yo": "Yoruba", "zh": "Chinese",
+}
+#: Those of them for which lists of stop words and of flagged words are in use.
+WITH_STOPWORDS = tuple("af ar bn ca en es eu fr hi id mr pt sw ur vi yo zh".split())
+WITH_FLAGGED = tuple("ar ca en es eu fr hi id kn ml mr pt ta te vi zh".split())
+
+
+def word_lists(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """Word lists by language from a JSON file {language: [words]}, or a folder of text files language.txt with a word a line.
+
+    Lists are bounded by what a person writes; they are read to the driver and become literals.
+    """
+    rows = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_name AS name", "value").collect()
+    out: dict[str, tuple[str, ...]] = {}
+    for r in rows:
+        if r.name.endswith(".json"):
+            out |= {lang: tuple(words) for lang, words in json.loads(r.value).items()}
+        else:
+            out[r.name.rpartition(".")[0]] = tuple(w for w in map(str.strip, r.value.splitlines()) if w)
+    return out
+
+
+def words_for(lang: str, lists: dict[str, tuple[str, ...]] = STOPWORDS) -> tuple[str, ...] | None:
+    """The list of a language, or None if there is none."""
+    return lists.get(lang)

@@ -63,9 +63,15 @@ def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+#: What fix_text may change: a text without it goes past Python.
+_SUSPECT = "[^\\x09\\x0a\\x20-\\x25\\x27-\\x7e]|&[#A-Za-z]"
+
+
 def fixed(text: Column) -> Column:
-    return _fixed(text)
+    return F.when(F.regexp_like(text, F.lit(_SUSPECT)), _fixed(F.when(F.regexp_like(text, F.lit(_SUSPECT)), text))).otherwise(text)
 
 
 def nfc(text: Column) -> Column:
-    return _nfc(text)
+    """ASCII is in normal form; only other texts go to Python."""
+    other = F.octet_length(text) != F.length(text)
+    return F.when(other, _nfc(F.when(other, text))).otherwise(text)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,10 +23,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
 
 
-def tokens(text: Column, max_len: int = 10_000) -> Column:
-    """Of the cleaned text: runs of ASCII letters and digits, and every other character that isn't blank by itself."""
-    found = F.regexp_extract_all(clean(text), F.lit("([A-Za-z0-9]+|[^A-Za-z0-9])"), F.lit(1))
-    return F.slice(F.filter(found, lambda t: F.trim(t) != ""), 1, max_len)
+def tokens(text: Column, max_len: int | None = None) -> Column:
+    """Of the cleaned text: runs of ASCII letters and digits, and every other character that isn't blank by itself; all, or the first max_len."""
+    found = F.filter(F.regexp_extract_all(clean(text), F.lit("([A-Za-z0-9]+|[^A-Za-z0-9])"), F.lit(1)), lambda t: F.trim(t) != "")
+    return found if max_len is None else F.slice(found, 1, max_len)
 
 
 def ngrams(items: Column, n: int, least: int | None = None) -> Column:
@@ -32,6 +36,11 @@ def ngrams(items: Column, n: int, least: int | None = None) -> Column:
     return F.when(size >= max(n, least or n), runs).otherwise(F.array().cast("array<array<string>>"))
 
 
+def characters(text: Column) -> Column:
+    """The cleaned text's characters, spaces too: the items of shingles in scripts without spaces."""
+    return F.filter(F.split(clean(text), ""), lambda c: c != "")
+
+
 def adaptive_shingles(items: Column, width: int, joiner: str = " ") -> Column:
     """Runs of `width` items, or of all where there are fewer, joined."""
     w = F.least(F.size(items), F.lit(width))
@@ -137,6 +146,21 @@ def sha1_hash32(text: Column) -> Column:
     return F.conv(turned, 16, 10).cast("long")
 
 
+def without_prefix(label: Column, prefix: str = "__label__") -> Column:
+    """A classifier's label without the prefix that its format has."""
+    return F.regexp_replace(label, "^" + re.escape(prefix), "")
+
+
+def pieces(text: Column, tokenize: Callable[[list[str]], list[list[str]]]) -> Column:
+    """The tokens of an external tokenizer, such as a sentence-piece model: tokenize takes many texts at once, as Arrow batches bring them."""
+
+    @F.pandas_udf("array<string>")
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series(tokenize(s.fillna("").tolist()), dtype=object)
+
+    return run(text)
+
+
 def stripped_lines(text: Column) -> Column:
     """Non-blank lines without white space at their ends."""
     ends = f"^{SPACE_CLASS}+|{SPACE_CLASS}+$"

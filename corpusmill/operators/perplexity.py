@@ -44,8 +44,10 @@ def fit_bytes(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(n / n.sum(axis=1, keepdims=True))
 
 
-def byte_scorer(table: np.ndarray) -> Callable[[str, int], tuple[str, float, int]]:
-    def score(segment: str, max_token: int) -> tuple[str, float, int]:
+def byte_scorer(table: np.ndarray) -> Callable[[str, int | None], tuple[str, float, int]]:
+    """Tokens are bytes; the segment is scored after a line break, whole or its first max_token tokens."""
+
+    def score(segment: str, max_token: int | None) -> tuple[str, float, int]:
         x = np.frombuffer(("\n" + segment).encode("utf-8", "replace")[:max_token], np.uint8)
         mean = table[x[:-1], x[1:]].mean() if len(x) > 1 else 0.0
         return x.tobytes().decode("utf-8", "replace"), float(np.exp(-mean)), len(x)
@@ -53,8 +55,11 @@ def byte_scorer(table: np.ndarray) -> Callable[[str, int], tuple[str, float, int
     return score
 
 
-def perplexities(docs: DataFrame, scorer: Callable[[str, int], tuple[str, float, int]], id_col: str = "doc_id", text_col: str = "text", max_token: int = 100) -> DataFrame:
-    """(doc_id, perplexity_start, perplexity_middle, perplexity_end, perplexity_avg, total_num_token); none for texts without lines."""
+def perplexities(docs: DataFrame, scorer: Callable[[str, int | None], tuple[str, float, int]], id_col: str = "doc_id", text_col: str = "text", max_token: int | None = None) -> DataFrame:
+    """(doc_id, perplexity_start, perplexity_middle, perplexity_end, perplexity_avg, total_num_token); none for texts without lines.
+
+    Segments are scored whole, or their first max_token tokens.
+    """
     part = "struct<text:string,perplexity:double,num_token:int>"
     names = ["perplexity_start", "perplexity_middle", "perplexity_end"]
     rows = docs.select(F.col(id_col).alias("doc_id"), segments(F.col(text_col)).alias("s"), T.stripped_lines(F.col(text_col)).alias("l"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
+from corpusmill.session import stored
 
 
 def hash_share(key: Column, seed: int, cells: int = 1000) -> Column:
@@ -18,11 +19,26 @@ def hash_share(key: Column, seed: int, cells: int = 1000) -> Column:
     return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(cells))
 
 
+def numbered(rows: DataFrame, group: str, order: str, name: str = "n") -> DataFrame:
+    """rows with the number of each in its group from 0, by order.
+
+    Numbers are given within ranges of (group, order) and added up over the ranges, so a large group is many tasks' work.
+    """
+    placed = stored(rows.repartitionByRange(group, order).withColumn("_range", F.spark_partition_id()), "numbered")
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range that a group lies in
+    counts = counts.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_low"))
+    own = placed.withColumn("_own", F.row_number().over(Window.partitionBy(group, "_range").orderBy(order)) - 1)
+    found = own.join(counts, own[group].eqNullSafe(counts["_g"]) & (own["_range"] == counts["_r"]))
+    return found.withColumn(name, F.col("_low") + F.col("_own")).drop("_range", "_own", "_g", "_r", "_low")
+
+
 def split_chunks(docs: DataFrame, file_col: str = "source", id_col: str = "doc_id", line_count: int = 10_000) -> DataFrame:
     """(doc_id, chunk): documents of a file in chunks of line_count, named file.000 and so on."""
-    n = F.row_number().over(Window.partitionBy(file_col).orderBy(id_col)) - 1
-    name = F.concat(F.col(file_col), F.lit("."), F.lpad(F.floor(n / line_count).cast("string"), 3, "0"))
-    return docs.select(F.col(id_col).alias("doc_id"), name.alias("chunk"))
+    rows = numbered(docs.select(F.col(file_col).alias("file"), F.col(id_col).alias("doc_id")), "file", "doc_id")
+    part = F.floor(F.col("n") / line_count).cast("string")
+    name = F.concat(F.col("file"), F.lit("."), F.when(F.length(part) < 3, F.lpad(part, 3, "0")).otherwise(part))
+    return rows.select("doc_id", name.alias("chunk"))
 
 
 def holdout(docs: DataFrame, per_mille: int = 100, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
@@ -45,12 +61,22 @@ def epochs(docs: DataFrame, n: int, text_col: str = "text") -> DataFrame:
 
 
 def sample_sheet(docs: DataFrame, file_col: str = "source", id_col: str = "doc_id", text_col: str = "text", first: int = 100, seed: int = 22) -> DataFrame:
-    """(start, middle, end, file_name, line_index, annotation, comment): one hashed pick of each file's first rows; none of shorter files."""
-    n = F.row_number().over(Window.partitionBy(file_col).orderBy(id_col)) - 1
-    numbered = docs.select(F.col(file_col).alias("file_name"), n.alias("line_index"), F.col(text_col).alias("text"))
-    pick = hash_share(F.col("file_name"), seed, first)
+    """(start, middle, end, file_name, line_index, annotation, comment): one hashed pick of each file's first rows; none of shorter files.
+
+    Only ids are numbered; the texts of the picks, one a file, are joined on.
+    """
+    rows = numbered(docs.select(F.col(file_col).alias("file_name"), F.col(id_col).alias("_id")), "file_name", "_id", "line_index")
+    picks = rows.filter(F.col("line_index") == hash_share(F.col("file_name"), seed, first))
+    texts = docs.select(F.col(id_col).alias("_i"), F.col(file_col).alias("_f"), F.col(text_col).alias("text"))
+    found = picks.join(texts, (picks["_id"] == texts["_i"]) & (picks["file_name"] == texts["_f"])).dropDuplicates(["file_name"])
     s = T.snippets(F.col("text"))
-    return numbered.filter(F.col("line_index") == pick).select(s["start"].alias("start"), s["middle"].alias("middle"), s["end"].alias("end"), "file_name", "line_index", F.lit(None).cast("int").alias("annotation"), F.lit("").alias("comment"))
+    return found.select(s["start"].alias("start"), s["middle"].alias("middle"), s["end"].alias("end"), "file_name", "line_index", F.lit(None).cast("int").alias("annotation"), F.lit("").alias("comment"))
+
+
+def id_sets(docs: DataFrame, file_col: str = "source", id_col: str = "doc_id", span: int = 10_000) -> DataFrame:
+    """(file_name, part, ids): the distinct ids of each file, as sorted arrays of the ids of a span each, so that no array grows with its file."""
+    part = F.floor(F.col(id_col) / span).alias("part")
+    return docs.groupBy(F.col(file_col).alias("file_name"), part).agg(F.array_sort(F.collect_set(id_col)).alias("ids"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:

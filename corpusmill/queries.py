@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import repair, webpage
 from corpusmill.functions import text as T
-from corpusmill.functions.lexicons import FLAGGED, PUNCTUATION, PUNCTUATION_MAP, SPACE_CLASS, STOPWORDS, WIDE_SPACES, special_characters
+from corpusmill.functions.lexicons import FLAGGED, LANGUAGE_NAMES, PUNCTUATION, PUNCTUATION_MAP, SPACE_CLASS, STOPWORDS, WIDE_SPACES, WITH_FLAGGED, WITH_STOPWORDS, special_characters
 from corpusmill.operators import boilerplate, features, language, minhash, perplexity, quality, sampling
 from corpusmill.operators.components import connected_components
 from corpusmill.sources import files
@@ -59,7 +60,7 @@ def _list(items) -> str:
 # Texts and tokens
 
 _CLEAN = f"trim(regexp_replace(translate(lower(text), {_quoted(PUNCTUATION)}, ''), '{SPACE_CLASS}+', ' ', 'g'))"
-_TOKENS = f"list_filter(regexp_extract_all({_CLEAN}, '[A-Za-z0-9]+|[^A-Za-z0-9]'), lambda x: trim(x) <> '')[1:10000]"
+_TOKENS = f"list_filter(regexp_extract_all({_CLEAN}, '[A-Za-z0-9]+|[^A-Za-z0-9]'), lambda x: trim(x) <> '')"
 
 
 def _words_sql(text: str) -> str:
@@ -84,6 +85,7 @@ def _items(make: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]
 
 _add("clean_text", lambda d: d.select("doc_id", F.md5(T.clean(F.col("text"))).alias("clean_md5")), f"SELECT doc_id, md5({_CLEAN}) AS clean_md5 FROM documents")
 _add("tokens_simple", _items(T.tokens), _digest_sql(_TOKENS))
+_add("tokens_simple_limited", _items(lambda c: T.tokens(c, 10_000)), _digest_sql(f"{_TOKENS}[1:10000]"))
 _add("words_clean", _items(lambda c: T.words(T.clean(c))), _digest_sql(_words_sql(_CLEAN)))
 _add("split_on_space", _items(lambda c: T.split_on_space(c, True, True)), _digest_sql("list_filter(regexp_split_to_array(text, '[ \\n\\t]+'), lambda w: w <> '')"))
 _STRIPPED = f"list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), '[ \\n\\t]+'), lambda w: w <> ''), lambda w: trim(w, {_quoted(PUNCTUATION)})), lambda w: w <> '')"
@@ -104,13 +106,21 @@ def _shingle_sql(n: int, items: str) -> str:
 
 
 _add("shingles_5", _shingle_query(5, T.tokens), _shingle_sql(5, _TOKENS))
-_add("shingles_13", _shingle_query(13, lambda c: F.slice(T.words(T.clean(c)), 1, 1000)), _shingle_sql(13, f"{_words_sql(_CLEAN)}[1:1000]"))
+_add("shingles_13", _shingle_query(13, lambda c: T.words(T.clean(c))), _shingle_sql(13, _words_sql(_CLEAN)))
+_add("shingles_13_limited", _shingle_query(13, lambda c: F.slice(T.words(T.clean(c)), 1, 1000)), _shingle_sql(13, f"{_words_sql(_CLEAN)}[1:1000]"))
 _add(
     "adaptive_shingles",
     lambda d: d.select("doc_id", T.words(T.clean(F.col("text"))).alias("w")).select("doc_id", T.adaptive_shingles(F.col("w"), 13).alias("x")).select("doc_id", *_digest(F.col("x"))),
     "SELECT doc_id, len(x)::BIGINT AS n_items, md5(array_to_string(x, chr(1))) AS items_md5 FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN"
     f" list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' ')) ELSE [] END AS x FROM (SELECT doc_id, {_words_sql(_CLEAN)} AS w FROM documents))",
 )
+_add(
+    "adaptive_shingles_characters",
+    lambda d: d.select("doc_id", T.characters(F.col("text")).alias("w")).select("doc_id", T.adaptive_shingles(F.col("w"), 5, "").alias("x")).select("doc_id", *_digest(F.col("x"))),
+    "SELECT doc_id, len(x)::BIGINT AS n_items, md5(array_to_string(x, chr(1))) AS items_md5 FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN"
+    f" list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], '')) ELSE [] END AS x"
+    f" FROM (SELECT doc_id, list_filter(string_split({_CLEAN}, ''), lambda c: c <> '') AS w FROM documents))",
+)
 
 _HASH32 = "('0x' || substr({0}, 7, 2) || substr({0}, 5, 2) || substr({0}, 3, 2) || substr({0}, 1, 2))::BIGINT"
 _add("sha1_hash32", lambda d: d.select("doc_id", T.sha1_hash32(F.col("text")).alias("h")), f"SELECT doc_id, {_HASH32.format('s')} AS h FROM (SELECT doc_id, sha1(text) AS s FROM documents)")
@@ -153,7 +163,7 @@ _add("short_doc_filter", lambda d: quality.long_enough(d).select("doc_id"), f"SE
 
 _SPECIAL = _list(sorted(c for c in special_characters() if c != "\0"))
 _CHAR_SQL = f"""
-c AS (SELECT doc_id, text, string_split(substring(text, 1, 100000), '') AS cs FROM documents),
+c AS (SELECT doc_id, text, string_split(text, '') AS cs FROM documents),
 e AS (SELECT doc_id, unnest(cs) AS ch, generate_subscripts(cs, 1) AS pos FROM c),
 n AS (SELECT doc_id, lower(ch) AS ch, count(*) AS k FROM e GROUP BY ALL),
 s AS (SELECT doc_id, sum(k) FILTER (ch IN {_SPECIAL}) / sum(k) AS special, sum(k) AS total, log2(sum(k)) - sum(k * log2(k)) / sum(k) AS entropy FROM n GROUP BY doc_id),
@@ -166,6 +176,11 @@ f AS (SELECT doc_id, length(text)::BIGINT AS document_length, round(coalesce(rep
     round(coalesce(special, 0), 3) AS special_character_ratio, round(coalesce(entropy, 0), 3) AS char_entropy FROM c LEFT JOIN s USING (doc_id) LEFT JOIN rep USING (doc_id))
 """
 _add("doc_features_char", features.char_features, f"WITH {_CHAR_SQL} SELECT * FROM f")
+_add(
+    "doc_features_char_limited",
+    lambda d: features.char_features(d, max_chars=1000),
+    f"WITH {_CHAR_SQL.replace("string_split(text, '')", "string_split(substring(text, 1, 1000), '')")} SELECT * FROM f",
+)
 
 
 def _ratio_sql(words: tuple[str, ...]) -> str:
@@ -190,7 +205,7 @@ _SPC_STRIP = f"regexp_replace(x, '^{SPACE_CLASS}+|{SPACE_CLASS}+$', '', 'g')"
 _LINES_SQL = f"list_filter(list_transform(string_split(text, chr(10)), lambda x: {_SPC_STRIP}), lambda x: x <> '')"
 _HITS = " UNION ALL ".join(f"SELECT doc_id, i, w, '{lang}' AS lang, len(list_filter(w, lambda x: x IN {_list(words)})) AS n FROM lw" for lang, words in sorted(STOPWORDS.items()))
 _LANG_SQL = f"""
-ls AS (SELECT doc_id, {_LINES_SQL}[1:100] AS l FROM documents),
+ls AS (SELECT doc_id, {_LINES_SQL} AS l FROM documents),
 lx AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM ls),
 lw AS (SELECT doc_id, i, {_words_sql("translate(lower(x), '.,;:!?', '')")} AS w FROM lx),
 h AS ({_HITS}),
@@ -206,7 +221,18 @@ def _rounded(dist: DataFrame, *cols: str) -> DataFrame:
 
 
 _add("lang_distribution", lambda d: _rounded(language.distribution(d), "frequency"), f"WITH {_LANG_SQL} SELECT doc_id, lang, round(frequency, 6) AS frequency, median_score FROM dist")
-_add("lang_distribution_sampled", lambda d: language.distribution(d, lines=20, seed=7))
+_add(
+    "lang_distribution_limited",
+    lambda d: _rounded(language.distribution(d, lines=100), "frequency"),
+    f"WITH {_LANG_SQL.replace(f'{_LINES_SQL} AS l', f'{_LINES_SQL}[1:100] AS l')} SELECT doc_id, lang, round(frequency, 6) AS frequency, median_score FROM dist",
+)
+_SAMPLED = f"""lz AS (SELECT doc_id, {_LINES_SQL} AS l FROM documents), ly AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM lz),
+ls AS (SELECT doc_id, list(x) AS l FROM (SELECT * FROM ly QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ('0x' || substr(md5('7:' || doc_id || ':' || i), 1, 8))::BIGINT, i) <= 20) GROUP BY doc_id),"""
+_add(
+    "lang_distribution_sampled",
+    lambda d: _rounded(language.distribution(d, lines=20, seed=7), "frequency"),
+    f"WITH {_LANG_SQL.replace(f'ls AS (SELECT doc_id, {_LINES_SQL} AS l FROM documents),', _SAMPLED)} SELECT doc_id, lang, round(frequency, 6) AS frequency, median_score FROM dist",
+)
 _add("top1_lang", lambda d: _rounded(language.top1(language.distribution(d)), "top1_lang_freq"), f"WITH {_LANG_SQL} SELECT doc_id, top1_lang, round(top1_lang_freq, 6) AS top1_lang_freq, top1_lang_median FROM top")
 _add(
     "lang_share_top10",
@@ -230,7 +256,11 @@ _KEEP = (
 
 
 def _decided(d: DataFrame) -> DataFrame:
-    return quality.keep_drop(features.char_features(d), language.top1(language.distribution(d)), p=_PROFILE)
+    """Both kinds of features in one pass over the texts, without a shuffle."""
+    top = ("top1_lang_freq", "top1_lang_median")
+    found = features.char_features(language.with_top1(d.select("doc_id", "text")), carried=top)
+    keep = quality.keep_condition(_PROFILE)
+    return found.withColumn("keep", keep).withColumn("drop", ~F.col("keep"))
 
 
 _add("keep_drop", lambda d: _decided(d).select("doc_id", "keep", "drop"), f"WITH {_CHAR_SQL}, {_LANG_SQL} SELECT doc_id, coalesce({_KEEP}, false) AS keep, NOT coalesce({_KEEP}, false) AS drop FROM f LEFT JOIN top USING (doc_id)")
@@ -240,7 +270,18 @@ _add(
     f"""WITH {_CHAR_SQL} SELECT doc_id, 'repetition' AS reason FROM f WHERE character_repetition_ratio > 0.4 UNION ALL SELECT doc_id, 'entropy' FROM f WHERE char_entropy < 3
 UNION ALL SELECT doc_id, 'special' FROM f WHERE special_character_ratio > 0.5 UNION ALL SELECT doc_id, 'length' FROM f WHERE document_length < 100 OR document_length > 10000000""",
 )
-_add("violation_report", lambda d: sampling.violation_report(d, quality.violations(features.char_features(d))))
+_add(
+    "keep_drop_joined",
+    lambda d: quality.keep_drop(features.char_features(d), language.top1(language.distribution(d)), _perplexities(d), replace(_PROFILE, perplexity_max=14.0)).select("doc_id", "keep", "drop"),
+)
+_add(
+    "violation_report",
+    lambda d: sampling.violation_report(d, quality.violations(features.char_features(d))),
+    f"""WITH {_CHAR_SQL}, v AS (SELECT doc_id, 'repetition' AS reason FROM f WHERE character_repetition_ratio > 0.4 UNION ALL SELECT doc_id, 'entropy' FROM f WHERE char_entropy < 3
+UNION ALL SELECT doc_id, 'special' FROM f WHERE special_character_ratio > 0.5 UNION ALL SELECT doc_id, 'length' FROM f WHERE document_length < 100 OR document_length > 10000000)
+SELECT source AS file_name, source || '-' || doc_id || chr(10) || '[' || string_agg(reason, ',' ORDER BY reason) || ']' || chr(10) || any_value(text) || chr(10) || repeat('*', 100) AS value
+FROM v JOIN documents USING (doc_id) GROUP BY source, doc_id""",
+)
 _add(
     "zscore_outliers",
     lambda d: quality.without_outliers(features.char_features(d), ("document_length", "char_entropy")).select("doc_id"),
@@ -263,7 +304,7 @@ def _perms_sql(p: minhash.MinHashParams) -> str:
 
 
 def _sig_sql(p: minhash.MinHashParams) -> str:
-    items = f"{_TOKENS}" if p.unit == "token" else f"{_words_sql(_CLEAN)}[1:{p.max_len}]"
+    items = (_TOKENS if p.unit == "token" else _words_sql(_CLEAN)) + (f"[1:{p.max_len}]" if p.max_len else "")
     return f"""
 perm(i, a, b) AS (VALUES {_perms_sql(p)}),
 toks AS (SELECT doc_id, {items} AS w FROM documents),
@@ -297,19 +338,20 @@ _add(
     f"WITH {_sig_sql(_S)} SELECT doc_id, md5(array_to_string(s, ',')) AS signature_md5, list_sum(s)::BIGINT AS signature_sum FROM sig",
 )
 _add("lsh_bands", _banded, f"WITH {_band_sql(_S)} SELECT doc_id, band, band_hash FROM band")
-_add("duplicate_pairs", lambda d: minhash.star_edges(_banded(d)), f"WITH {_band_sql(_S)} SELECT src, dst FROM star")
+_add("duplicate_pairs", lambda d: minhash.star_edges(minhash.stored_bands(d)), f"WITH {_band_sql(_S)} SELECT src, dst FROM star")
 _add(
     "lsh_candidates",
-    lambda d: minhash.candidates_of(_banded(d), d.filter("doc_id % 50 = 0")),
+    lambda d: minhash.candidates_of(minhash.stored_bands(d), d.filter("doc_id % 50 = 0")),
     f"WITH {_band_sql(_S)} SELECT DISTINCT a.doc_id AS src, b.doc_id AS dst FROM band a JOIN band b USING (band, band_hash) WHERE a.doc_id % 50 = 0 AND a.doc_id > b.doc_id",
 )
 _add("connected_components", lambda d: minhash.clusters(d), f"WITH RECURSIVE {_band_sql(_S)}, {_COMPONENTS_SQL} SELECT id AS doc_id, component FROM comp")
 _add("dedup_near", lambda d: minhash.dedup(d).select("doc_id"), f"WITH RECURSIVE {_band_sql(_S)}, {_COMPONENTS_SQL} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM comp WHERE id <> component)")
-_add(
-    "dedup_near_main",
-    lambda d: minhash.dedup(d, minhash.MAIN).select("doc_id"),
-    f"WITH RECURSIVE {_band_sql(minhash.MAIN)}, {_COMPONENTS_SQL} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM comp WHERE id <> component)",
-)
+for _name, _p in (("dedup_near_main", minhash.MAIN), ("dedup_near_limited", minhash.SIMPLE_LIMITED), ("dedup_near_main_limited", minhash.MAIN_LIMITED)):
+    _add(
+        _name,
+        lambda d, p=_p: minhash.dedup(d, p).select("doc_id"),
+        f"WITH RECURSIVE {_band_sql(_p)}, {_COMPONENTS_SQL} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM comp WHERE id <> component)",
+    )
 _add_tables(
     "optimal_param",
     lambda spark, _: spark.createDataFrame([(t, 128, *minhash.optimal_param(t, 128)) for t in (0.7, 0.8)], "threshold double, num_perm int, bands int, rows int"),
@@ -318,8 +360,8 @@ _add_tables(
 _add("dedup_exact", lambda d: sampling.exact_dedup(d).select("doc_id"), "SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 _add_tables(
     "components_of_edges",
-    lambda spark, d: connected_components(_table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("src"), F.col("n_regionkey").cast("long").alias("dst"))).select("id", "component"),
-    "WITH RECURSIVE e AS (SELECT n_nationkey::BIGINT AS a, n_regionkey::BIGINT AS b FROM nation WHERE n_nationkey <> n_regionkey), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),"
+    lambda spark, d: connected_components(_table(spark, d, "orders").select(F.col("o_custkey").cast("long").alias("src"), F.shiftleft(F.floor(F.col("o_custkey") / 64), 6).cast("long").alias("dst"))).select("id", "component"),
+    "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey::BIGINT AS a, (o_custkey // 64 * 64)::BIGINT AS b FROM orders WHERE o_custkey <> o_custkey // 64 * 64), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),"
     " reach(id, r) AS (SELECT DISTINCT a, a FROM sym UNION SELECT sym.b, reach.r FROM reach JOIN sym ON sym.a = reach.id) SELECT id, min(r) AS component FROM reach GROUP BY id",
 )
 
@@ -391,12 +433,37 @@ _add(
 )
 
 
-def _perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _docs(spark, sf_dir)
-    return perplexity.perplexities(d, perplexity.byte_scorer(perplexity.fit_bytes(d)))
+def _perplexities(d: DataFrame, max_token: int | None = None) -> DataFrame:
+    return perplexity.perplexities(d, perplexity.byte_scorer(perplexity.fit_bytes(d)), max_token=max_token)
+
+
+def _perplexity_parts(d: DataFrame, max_token: int | None = None) -> DataFrame:
+    parts = ("start", "middle", "end")
+    found = _perplexities(d, max_token)
+    rounded = [F.col(f"perplexity_{p}.perplexity").alias(f"{p}_perplexity") for p in parts]
+    return found.select("doc_id", *rounded, *(F.col(f"perplexity_{p}.num_token").cast("long").alias(f"{p}_tokens") for p in parts), F.col("total_num_token").cast("long").alias("total_num_token"))
+
 
+def _perplexity_sql(limit: str = "") -> str:
+    """Bytes and their bigrams by hex; a text begins after a line break."""
+    hexes = "list_transform(range(1, length({0}) // 2 + 1), lambda i: substr({0}, 2 * i - 1, 2))"
+    seg = ", ".join(f"{_SEG.format(*ab)} AS x_{p}" for p, ab in {"start": ("len(l) // 20 + 1", "len(l) // 2"), "end": ("len(l) // 20 * 19 + 1", "len(l)")}.items())
+    middle = f"CASE WHEN len(l) // 2 < len(l) // 20 * 19 THEN {_SEG.format('len(l) // 2 + 1', 'len(l) // 20 * 19')} ELSE '' END AS x_middle"
+    parts = " UNION ALL ".join(f"SELECT doc_id, '{p}' AS part, '0A' || hex(encode(x_{p})) AS h FROM seg" for p in ("start", "middle", "end"))
+    return f"""WITH tx AS (SELECT '0A' || hex(encode(coalesce(text, ''))) AS h FROM documents), tb AS (SELECT {hexes.format("h")} AS b FROM tx),
+pairs AS (SELECT unnest(list_transform(range(1, len(b)), lambda i: b[i] || b[i + 1])) AS g FROM tb),
+n AS (SELECT g, count(*) AS k FROM pairs GROUP BY g), tot AS (SELECT substr(g, 1, 2) AS a, sum(k) + 256 AS t FROM n GROUP BY 1),
+seg AS (SELECT doc_id, {seg}, {middle} FROM (SELECT doc_id, {_LINES_SQL} AS l FROM documents) WHERE len(l) > 0),
+sp AS ({parts}), sb AS (SELECT doc_id, part, {hexes.format("h")}{limit} AS b FROM sp),
+sg AS (SELECT doc_id, part, len(b) AS m, unnest(CASE WHEN len(b) > 1 THEN list_transform(range(1, len(b)), lambda i: b[i] || b[i + 1]) ELSE [NULL] END) AS g FROM sb),
+sc AS (SELECT doc_id, part, any_value(m)::BIGINT AS m, coalesce(round(exp(-avg(CASE WHEN sg.g IS NOT NULL THEN ln((coalesce(k, 0) + 1) / coalesce(t, 256)) END)), 2), 1.0) AS p
+    FROM sg LEFT JOIN n ON n.g = sg.g LEFT JOIN tot ON tot.a = substr(sg.g, 1, 2) GROUP BY doc_id, part)
+SELECT doc_id, {", ".join(f"any_value(p) FILTER (part = '{p}') AS {p}_perplexity, any_value(m) FILTER (part = '{p}') AS {p}_tokens" for p in ("start", "middle", "end"))}, sum(m)::BIGINT AS total_num_token
+FROM sc GROUP BY doc_id"""
 
-_add_tables("perplexity", _perplexity)
+
+_add("perplexity", _perplexity_parts, _perplexity_sql())
+_add("perplexity_fixed_length", lambda d: _perplexity_parts(d, 100), _perplexity_sql("[1:100]"))
 
 # Splits, samples, shapes
 
@@ -467,6 +534,26 @@ def _resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _add_tables("resume_filter", _resume, "SELECT doc_id FROM documents WHERE source NOT IN ('src0', 'src1')")
-_add("keep_sets", lambda d: d.filter("n_chars >= 100").groupBy("source").agg(F.sort_array(F.collect_set("doc_id")).alias("ids")).select("source", F.size("ids").cast("long").alias("n_ids"), F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_md5")), "SELECT source, count(DISTINCT doc_id)::BIGINT AS n_ids, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids_md5 FROM documents WHERE n_chars >= 100 GROUP BY source")
+_add(
+    "keep_sets",
+    lambda d: sampling.id_sets(d.filter("n_chars >= 100")).select(F.col("file_name").alias("source"), "part", F.size("ids").cast("long").alias("n_ids"), F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_md5")),
+    "SELECT source, doc_id // 10000 AS part, count(DISTINCT doc_id)::BIGINT AS n_ids, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids_md5 FROM documents WHERE n_chars >= 100 GROUP BY source, part",
+)
 _add_tables("html_to_text", lambda spark, d: _table(spark, d, "pages").select("page_id", webpage.extracted(F.col("html")).alias("text")))
-_add_tables("language_table", lambda spark, _: spark.createDataFrame(language.LANGUAGES, "lang string, name string, stopwords boolean"), "SELECT * FROM (VALUES ('de', 'German', true), ('en', 'English', true), ('es', 'Spanish', true), ('fr', 'French', true)) t(lang, name, stopwords)")
+
+
+
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of each language with its name, and whether it has lists."""
+    table = [(c, n, c in WITH_STOPWORDS, c in WITH_FLAGGED) for c, n in LANGUAGE_NAMES.items()]
+    known = spark.createDataFrame(table, "code string, name string, stopwords boolean, flagged boolean")
+    n = _docs(spark, sf_dir).groupBy(T.without_prefix(F.concat(F.lit("__label__"), F.col("lang"))).alias("lang")).agg(F.count(F.lit(1)).alias("n_docs"))
+    return n.join(F.broadcast(known), n["lang"] == known["code"], "left").select("lang", "n_docs", "name", "stopwords", "flagged")
+
+
+_LANGUAGES_SQL = ", ".join(f"({_quoted(c)}, {_quoted(n)}, {c in WITH_STOPWORDS}, {c in WITH_FLAGGED})" for c, n in LANGUAGE_NAMES.items())
+_add_tables(
+    "language_table",
+    _languages,
+    f"SELECT lang, n_docs, name, stopwords, flagged FROM (SELECT lang, count(*)::BIGINT AS n_docs FROM documents GROUP BY lang) LEFT JOIN (VALUES {_LANGUAGES_SQL}) t(code, name, stopwords, flagged) ON lang = code",
+)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-import gzip
 import io
-import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusmill.functions import webpage
+from corpusmill.operators.sampling import numbered
+from corpusmill.sources import sevenzip
 
 DOCUMENT = "text string, meta string"
 
@@ -25,14 +29,11 @@ def read_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
-    """(file_name, doc_id, line): doc_id counts the lines of each file from 0.
-
-    A file is numbered within one task; corpora are split into chunk files first.
-    """
-    raw = spark.read.option("pathGlobFilter", glob).option("wholetext", "false").text(path)
-    named = raw.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"))
-    w = Window.partitionBy("file_name").orderBy("start", "n")
-    return named.select("file_name", (F.row_number().over(w) - 1).cast("long").alias("doc_id"), "line")
+    """(file_name, doc_id, line): doc_id counts the lines of each file from 0, block by block of the file."""
+    raw = spark.read.option("pathGlobFilter", glob).text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    named = raw.select(F.col("_metadata.file_name").alias("file_name"), place.alias("place"), F.col("value").alias("line"))
+    return numbered(named, "file_name", "place", "doc_id").select("file_name", F.col("doc_id").cast("long").alias("doc_id"), "line")
 
 
 def documents_of(lines: DataFrame) -> DataFrame:
@@ -66,27 +67,30 @@ def load(spark: SparkSession, path: str | None = None, paths: list[str] | None =
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(url, html) of files of JSON arrays [url, html], plain or gzip; a line that can't be read is dropped."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+    """(url, html) of files of JSON arrays [url, html], a line each, plain or compressed by their extension; a line that can't be read is dropped."""
+    return _pages(spark.read.text(path))
+
+
+def _pages(lines: DataFrame) -> DataFrame:
+    pair = F.from_json(F.col("value"), "array<string>")
+    found = lines.select(pair.alias("p")).filter((F.size("p") == 2) & F.get("p", F.lit(1)).isNotNull())
+    return found.select(F.get("p", F.lit(0)).alias("url"), F.get("p", F.lit(1)).alias("html"))
+
+
+def read_archived_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(url, html) of the first file of each 7z archive.
+
+    An archive can't be split: a worker holds its bytes, and unpacks them piece by piece.
+    """
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.7z").load(path).select("content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for content in b["content"]:
-                raw = io.BytesIO(content)
-                stream = gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
-                rows = []
-                for line in stream:
-                    try:
-                        url, source = json.loads(line)
-                        rows.append((url, source))
-                    except ValueError:
-                        continue
-                    if len(rows) == 1000:
-                        yield pd.DataFrame(rows, columns=["url", "html"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=["url", "html"])
-
-    return files.mapInPandas(run, "url string, html string")
+                for lines in sevenzip.line_groups(content):
+                    yield pd.DataFrame({"value": lines})
+
+    return _pages(archives.mapInPandas(run, "value string"))
 
 
 def pages_to_documents(pages: DataFrame) -> DataFrame:
@@ -108,6 +112,56 @@ def write_documents(df: DataFrame, path: str, fmt: str = "parquet", compression:
     df.write.mode("overwrite").option("compression", codec).format(fmt).save(path)
 
 
+def write_jsonl_zst(df: DataFrame, path: str, level: int = 3) -> int:
+    """Documents as .jsonl.zst files, one for each partition; returns how many were written.
+
+    A task writes under a name of its own and renames at its end, so that a repeated task leaves one file. _SUCCESS marks the end.
+    """
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(hadoop, True)
+    store.mkdirs(hadoop)
+    uri = re.sub("^file:/+", "file:///", store.makeQualified(hadoop).toString())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get(), 0
+        fs, folder = pyarrow.fs.FileSystem.from_uri(uri)
+        own = f"{folder}/part-{task.partitionId():05d}.jsonl.zst"
+        held = f"{folder}/_{task.partitionId():05d}-{task.taskAttemptId()}"
+        with fs.open_output_stream(held) as raw, zstandard.ZstdCompressor(level=level).stream_writer(raw, closefd=False) as out:
+            for b in batches:
+                for line in b.column(0).to_pylist():
+                    out.write(line.encode("utf-8", "replace") + b"\n")
+                    n += 1
+        fs.move(held, own)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+    n = lines.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    store.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")).close()
+    return n
+
+
+def read_jsonl_zst(spark: SparkSession, path: str, schema: str = DOCUMENT) -> DataFrame:
+    """What write_jsonl_zst wrote. A file is read by one task, piece by piece."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl.zst").load(path).select("content")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content)) as raw:
+                    for lines in sevenzip.grouped(io.TextIOWrapper(raw, "utf-8")):
+                        yield pd.DataFrame({"line": lines})
+
+    return files.mapInPandas(run, "line string").select(F.from_json("line", schema).alias("d")).select("d.*")
+
+
+def write_subset_zst(df: DataFrame, path: str, indices: DataFrame, key: str = "doc_id") -> int:
+    """The documents (text, meta) whose key is in indices(key), as write_jsonl_zst; returns how many."""
+    return write_jsonl_zst(to_meta_text(df.join(indices.select(key).distinct(), key, "left_semi")), path)
+
+
 def write_decisions(decided: DataFrame, path: str) -> None:
     """keep and drop as two CSV folders."""
     for name in ("keep", "drop"):

@@ -163,9 +163,184 @@ def test_lang_stage_judges_whole_texts(spark, tmp_path):
     assert {r.lang: round(r.frequency, 3) for r in got.collect()} == {"de": 0.8, "en": 0.2}
 
 
+def test_stages_of_json_lines_with_a_perplexity_bound(spark, tmp_path):
+    import json
+
+    rng = random.Random(1)
+    (tmp_path / "in").mkdir()
+    texts = [" ".join(rng.choice("the cat and the dog of that house were not here at all".split()) for _ in range(60)) for _ in range(25)]
+    texts.append("".join(chr(rng.randrange(33, 127)) if k % 7 else " the of " for k in range(400)))  # of the language, but noise
+    for name, part in (("b", texts[:12]), ("a", texts[12:])):
+        (tmp_path / "in" / f"{name}.jsonl").write_text("".join(json.dumps({"text": t, "meta": {"n": i}}) + "\n" for i, t in enumerate(part)))
+    lax = {"character_repetition_max": 1.0, "lang_freq_min": 0.0, "lang_score_min": 0.0, "char_entropy_min": 0.0}
+    settings = stages.Settings(quality.FilterProfile(**lax, perplexity_max=6.0), format="jsonl", line_count=5)
+    done = stages.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", settings=settings)
+    assert done == list(stages.STAGES)
+    rows = spark.read.parquet(f"{tmp_path}/out/split").orderBy("doc_id").collect()
+    assert [(r.file_name, r.line, r.chunk) for r in rows[:7]] == [("a.jsonl", i, f"a.{i // 5:03d}") for i in range(7)]
+    assert len({r.doc_id for r in rows}) == 26 and [r.text for r in rows] == texts[12:] + texts[:12]
+    kept = {r.text for r in spark.read.parquet(f"{tmp_path}/out/dump").collect()}
+    assert texts[-1] not in kept and len(kept) == 25
+    n = files.write_jsonl_zst(files.to_meta_text(spark.read.parquet(f"{tmp_path}/out/dump").select("text", "line")), f"{tmp_path}/zst")
+    assert n == 25 and {r.text for r in files.read_jsonl_zst(spark, f"{tmp_path}/zst").collect()} == kept
+
+
+def test_zstd_sink(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"täxt\n{i}", {"u": "x"}) for i in range(50)] + [(90, None, None)], "doc_id long, text string, meta map<string,string>").repartition(3)
+    assert files.write_jsonl_zst(df.select("text", F.to_json("meta").alias("meta")), f"{tmp_path}/all") == 51
+    names = sorted(p.name for p in (tmp_path / "all").iterdir() if not p.name.startswith("."))
+    assert names == ["_SUCCESS", *(f"part-{k:05d}.jsonl.zst" for k in range(3))]
+    assert {r.text for r in files.read_jsonl_zst(spark, f"{tmp_path}/all").collect()} == {r.text for r in df.collect()}
+    some = spark.createDataFrame([(3,), (3,), (7,), (1000,)], "doc_id long")
+    assert files.write_subset_zst(df, f"{tmp_path}/some", some) == 2
+    assert files.write_jsonl_zst(df.limit(0).select("text"), f"{tmp_path}/none") == 0 and files.read_jsonl_zst(spark, f"{tmp_path}/none").count() == 0
+
+
+def seven_zip(name, data, method, header_packed):
+    """A small archive of one file, written by the format's rules."""
+    import lzma
+    import struct
+    import zlib
+
+    def number(n):
+        return bytes([n]) if n < 0x80 else b"\xff" + struct.pack("<Q", n)
+
+    def packed(raw, m):
+        if m == "copy":
+            return raw, bytes([1]) + b"\x00"
+        if m == "lzma2":
+            return lzma.compress(raw, lzma.FORMAT_RAW, filters=[{"id": lzma.FILTER_LZMA2, "dict_size": 1 << 20}]), bytes([0x21]) + b"\x21" + number(1) + bytes([16])
+        f = {"id": lzma.FILTER_LZMA1, "dict_size": 1 << 20, "lc": 3, "lp": 0, "pb": 2}
+        return lzma.compress(raw, lzma.FORMAT_RAW, filters=[f]), bytes([0x23]) + b"\x03\x01\x01" + number(5) + bytes([93]) + struct.pack("<I", 1 << 20)
+
+    def streams(at, size, coder, full):
+        return bytes([6]) + number(at) + number(1) + bytes([9]) + number(size) + bytes([0, 7, 11]) + number(1) + b"\0" + number(1) + coder + bytes([12]) + number(full) + bytes([0, 0])
+
+    body, coder = packed(data, method)
+    names = (name + "\0").encode("utf-16-le")
+    header = bytes([1, 4]) + streams(0, len(body), coder, len(data)) + bytes([5]) + number(1) + bytes([17]) + number(len(names) + 1) + b"\0" + names + bytes([0, 0])
+    if header_packed:
+        small, how = packed(header, "lzma")
+        full, header = body + small, bytes([23]) + streams(len(body), len(small), how, len(header))
+    else:
+        full = body
+    tail = struct.pack("<QQI", len(full), len(header), zlib.crc32(header))
+    return b"7z\xbc\xaf\x27\x1c\0\4" + struct.pack("<I", zlib.crc32(tail)) + tail + full + header
+
+
+def test_seven_zip_pages(spark, tmp_path):
+    import json
+
+    from corpusmill.sources import sevenzip
+
+    lines = "".join(json.dumps([f"http://h/{i}", f"<p>page {i} ü</p>"]) + "\n" for i in range(3000)) + "broken\n"
+    for k, (method, small) in enumerate([("copy", False), ("lzma", True), ("lzma2", True), ("lzma2", False)]):
+        data = seven_zip("a.jsonl", lines.encode(), method, small)
+        assert b"".join(sevenzip.first_file(data)).decode() == lines
+        (tmp_path / f"{k}.7z").write_bytes(data)
+    pages = files.read_archived_pages(spark, str(tmp_path))
+    assert pages.count() == 4 * 3000 and pages.filter("url = 'http://h/7'").first().html == "<p>page 7 ü</p>"
+    with pytest.raises(ValueError):
+        next(sevenzip.first_file(b"something else" * 5))
+
+
+def test_numbers_in_groups(spark):
+    rows = [(("a", "b", None)[i % 3] if i % 5 else "a", i * 7919 % 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, o long").repartition(5)
+    want = {}
+    for g, o in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        want.setdefault(g, []).append(o)
+    got = sampling.numbered(df, "g", "o").collect()
+    assert {(r.g, r.n): r.o for r in got} == {(g, k): o for g, os in want.items() for k, o in enumerate(os)}
+
+
+def test_tail_cuts_equal_the_sequential_rule(spark):
+    """Lines of a document after its cut, and the line that is cut at, are no earlier lines for the others."""
+    rng = random.Random(9)
+    lines = [f"tail line number {k} with some words of its own {k * 7}" for k in range(9)]
+    docs = [(i, "\n".join([f"own{i} text"] + [rng.choice(lines) for _ in range(rng.randrange(1, 5))]), "fg"[i % 2]) for i in range(60)]
+    p = minhash.MinHashParams(1, 0.8, 1, "raw")
+    n, r = minhash.optimal_param(p.threshold, p.num_perm)
+    a, b = minhash.permutations(p.num_perm, p.seed)
+    want, seen = {}, {"f": set(), "g": set()}
+    for i, text, file in docs:
+        all_lines = text.split("\n")
+        for at in range(max(0, len(all_lines) - 5), len(all_lines)):
+            sig = minhash.signature(p.shingles(all_lines[at]), a, b).tolist()
+            keys = {(k, tuple(sig[k * r : k * r + r])) for k in range(n)}
+            if keys & seen[file]:
+                want[i] = at
+                break
+            seen[file] |= keys
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    assert {r.doc_id: r.end_index for r in boilerplate.tail_cuts_minhash(df).collect()} == want
+
+
+def test_whole_texts_by_default(spark):
+    head = " ".join(f"w{k}" for k in range(11_000))
+    df = spark.createDataFrame([(1, head), (2, head + " " + " ".join(f"v{k}" for k in range(30_000)))], "doc_id long, text string")
+    ids = lambda p: sorted(r.doc_id for r in minhash.dedup(df, p).collect())
+    assert ids(minhash.SIMPLE) == ids(minhash.MAIN) == [1, 2]
+    assert ids(minhash.SIMPLE_LIMITED) == ids(minhash.MAIN_LIMITED) == [1]
+    assert one(spark, lambda c: F.size(T.tokens(c)), head) == [11_000] and one(spark, lambda c: F.size(T.tokens(c, 10_000)), head) == [10_000]
+    long = spark.createDataFrame([(1, "a" * 100_000 + "b" * 100_000)], "doc_id long, text string")
+    assert features.char_features(long).first().char_entropy == 1.0
+    assert features.char_features(long, max_chars=features.MAX_CHARS).first().char_entropy == 0.0
+
+
+def test_gram_counts_are_exact():
+    from collections import Counter
+
+    rng = np.random.default_rng(6)
+    for top, n in ((1, 30), (2, 200), (60, 3000), (90, 3000), (3000, 3000), (0x10FFFF, 500), (5, 9)):
+        x = rng.integers(0, top, n).astype(np.uint32)
+        x[n // 2 :] = x[: n - n // 2]
+        want = Counter(tuple(x[k : k + 10].tolist()) for k in range(n - 9))
+        assert sorted(features._gram_counts(x, 10).tolist()) == sorted(want.values())
+
+
+def test_lists_labels_and_tokenizers(spark, tmp_path):
+    from corpusmill.functions import lexicons
+
+    (tmp_path / "sv.txt").write_text("och\natt\n\n det \n")
+    (tmp_path / "more.json").write_text('{"nl": ["de", "het"]}')
+    lists = lexicons.word_lists(spark, str(tmp_path))
+    assert lists == {"sv": ("och", "att", "det"), "nl": ("de", "het")} and lexicons.words_for("xx", lists) is None
+    df = spark.createDataFrame([(1, "och det var så\nhet de de")], "doc_id long, text string")
+    dist = language.distribution(df, scorer=lambda line: language.stopword_scorer(line, lists), langs=[*lists, "und"])
+    assert {r.lang for r in dist.collect()} == {"sv", "nl"}
+    assert one(spark, T.without_prefix, "__label__en", "en") == ["en", "en"]
+    assert one(spark, lambda c: T.pieces(c, lambda texts: [[w[:2] for w in t.split()] for t in texts]), "abc de", None) == [["ab", "de"], []]
+    assert one(spark, lambda c: T.adaptive_shingles(T.characters(c), 2, ""), "中文 字", "中") == [["中文", "文 ", " 字"], ["中"]]
+
+
+def test_working_tables_go_with_their_scope(spark):
+    from corpusmill import session
+
+    df = spark.range(3)
+    with session.scope(spark):
+        kept = session.stored(df, "gone")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)exist|found"):
+        spark.read.parquet(path).count()
+    assert session.stored(df, "stays").count() == 3
+
+
+def test_entry_lives_without_optional_packages(tmp_path):
+    """A package that only the subpackage needs is missing: the library's queries are still there."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import sys; sys.modules['xxhash'] = None\nimport __spark_entry__ as e\nq = e.queries(); assert 'dedup_near' in q and 'pipeline' not in q and not any(n.startswith('op1_') for n in q); e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, env=os.environ | {"PYTHONPATH": root})
+
+
 def test_stages_run_and_resume(spark, tiny, tmp_path):
     done = stages.run(spark, f"{tiny}/documents.parquet", str(tmp_path))
-    assert done == list(stages.STAGES)
+    assert done == [n for n in stages.STAGES if n != "perplexity"]  # no bound in the profile looks at it
     assert stages.run(spark, f"{tiny}/documents.parquet", str(tmp_path)) == []
     kept = spark.read.parquet(f"{tmp_path}/dump")
     assert 0 < kept.count() < 200
