@@ -50,11 +50,11 @@ PERCENTILES = (50, 75, 90, 95, 98, 100)
 #: A segment is closed at the first document end after so many ids.
 SEGMENT = 1 << 18
 #: Bytes of words and ids that a worker remembers, and those of a dictionary's entry; beyond that it starts anew.
-CACHE_BYTES, ENTRY_BYTES = 160 << 20, 200
+CACHE_BYTES, ENTRY_BYTES = 96 << 20, 200
 #: Keys sampled for each range of the order.
 SAMPLES = 50
 #: Texts are encoded in slices of about this many bytes.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 #: Letters that stay letters in normal form; the one whose lower case ends in a mark, U+0130, is excluded where this is used.
 LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0388-\u03ce\u0400-\u0481\u4e00-\u9fff]+$"
 #: Fixed value: the pattern by which the tokenizer cuts texts.
