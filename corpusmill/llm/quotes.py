@@ -16,7 +16,8 @@ every message stands after the one it replies to.
 Everything on this path is made of DataFrame functions. Originals are
 pre-aggregated to the first turn by hash, so nothing pairs up within a hot
 conversation or passage. Running values are taken within cells of turns and
-then over the cells, so a very long conversation isn't one task's work.
+then over the cells, places within ranges of the reply order and then over the
+ranges, so a very long conversation isn't one task's work.
 
 Defined cases: a null or empty text has no lines; its text is empty. Null
 conv_ids are one conversation. A message with a null turn comes first, quotes
@@ -149,16 +150,19 @@ def reply_order(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 
 def _placed(texts: DataFrame) -> DataFrame:
-    """texts with place: its number in its conversation by (depth, branch, turn), counted within cells and over cells."""
-    key = ["depth", "branch", "_cell"]
-    cells = texts.withColumn("_cell", F.floor(F.col("turn") / CELL))
-    before = Window.partitionBy("conv").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
-    counts = cells.groupBy("conv", *key).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(F.col("conv").alias("_a"), F.col("depth").alias("_b"), F.col("branch").alias("_c"), F.col("_cell").alias("_d"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_low"))
-    inner = Window.partitionBy("conv", *key).orderBy("turn", "role", "text", "n_quoted_lines")
-    ranked = cells.withColumn("_rank", F.row_number().over(inner))
-    on = ranked["conv"].eqNullSafe(counts["_a"]) & (ranked["depth"] == counts["_b"]) & ranked["branch"].eqNullSafe(counts["_c"]) & ranked["_cell"].eqNullSafe(counts["_d"])
-    return ranked.join(counts, on).withColumn("place", (F.col("_low") + F.col("_rank")).cast("long")).drop("_a", "_b", "_c", "_d", "_low", "_rank", "_cell")
+    """texts with place: its number in its conversation by (depth, branch, turn).
+
+    Counted within ranges of that order and added up over the ranges, which are
+    as many as partitions, however the messages of a conversation reply to each other.
+    """
+    order = ["depth", "branch", "turn", "role", "text", "n_quoted_lines"]
+    ranged = stored(texts.repartitionByRange("conv", *order).withColumn("_range", F.spark_partition_id()), "quote-ranges")
+    before = Window.partitionBy("conv").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("conv", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(F.col("conv").alias("_a"), F.col("_range").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_low"))
+    ranked = ranged.withColumn("_rank", F.row_number().over(Window.partitionBy("conv", "_range").orderBy(*order)))
+    on = ranked["conv"].eqNullSafe(counts["_a"]) & (ranked["_range"] == counts["_b"])
+    return ranked.join(counts, on).withColumn("place", (F.col("_low") + F.col("_rank")).cast("long")).drop("_a", "_b", "_low", "_rank", "_range")
 
 
 def conversations(ordered: DataFrame, chunk: int = 1000) -> DataFrame:
@@ -168,14 +172,27 @@ def conversations(ordered: DataFrame, chunk: int = 1000) -> DataFrame:
     return grouped.agg(F.array_sort(F.collect_list(item)).alias("messages"))
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = reply_order(table(spark, sf_dir, "conversations"))
+def _digest(ordered: DataFrame) -> DataFrame:
     return ordered.select(
         F.col("conv").alias("conv_id"), "turn", "role", "reply_to", "by_quote", "branch", "depth", "place", "n_quoted_lines", "n_linked",
         F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"),
     )
 
 
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(reply_order(table(spark, sf_dir, "conversations")))
+
+
+def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on the conversations with quotes planted: a message whose turn leaves 2 or 4 by 5 quotes the one 2 or 3 turns earlier, in which quotes may be quoted."""
+    m = table(spark, sf_dir, "conversations")
+    for rest, back in ((2, 2), (4, 3)):
+        old = m.select(F.col("conv_id").alias("_c"), (F.col("turn") + back).alias("_t"), F.concat(F.lit("> "), F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit("\n> ")), F.lit("\n")).alias("_q"))
+        quoted = F.when((F.pmod("turn", F.lit(5)) == rest) & F.col("_q").isNotNull(), F.concat("_q", F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+        m = m.join(old, (m["conv_id"] == old["_c"]) & (m["turn"] == old["_t"]), "left").select("conv_id", "turn", "role", quoted.alias("text"))
+    return _digest(reply_order(stored(m, "quote-planted")))
+
+
 #: The same in DuckDB, with a recursive query for the depths. Turns are unique in a conversation of the tables.
 SQL = r"""
 WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
@@ -205,3 +222,15 @@ SELECT r.conv_id, r.turn, role, coalesce(original, previous) AS reply_to, origin
     n_quoted_lines, n_linked, len(text)::BIGINT AS n_chars, md5(text) AS text_md5
 FROM r LEFT JOIN d ON d.conv_id = r.conv_id AND d.branch = r.branch
 """
+
+#: SQL on the table with planted quotes.
+PLANTED_SQL = SQL.replace(
+    "WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations)",
+    """WITH RECURSIVE p1 AS (SELECT a.conv_id, a.turn, a.role, CASE WHEN a.turn % 5 = 2 AND b.turn IS NOT NULL
+    THEN '> ' || replace(coalesce(b.text, ''), chr(10), chr(10) || '> ') || chr(10) || coalesce(a.text, '') ELSE a.text END AS text
+    FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 2),
+p2 AS (SELECT a.conv_id, a.turn, a.role, CASE WHEN a.turn % 5 = 4 AND b.turn IS NOT NULL
+    THEN '> ' || replace(coalesce(b.text, ''), chr(10), chr(10) || '> ') || chr(10) || coalesce(a.text, '') ELSE a.text END AS text
+    FROM p1 a LEFT JOIN p1 b ON b.conv_id = a.conv_id AND b.turn = a.turn - 3),
+m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM p2)""",
+)
