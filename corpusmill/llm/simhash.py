@@ -6,7 +6,8 @@ least. Every segment is indexed under each of its one-wildcard variants, an
 equality shuffle brings together the fingerprints that share a variant, and
 each candidate is verified by its full Hamming distance.
 
-Only distinct fingerprints are indexed, so copies cost nothing. A variant that
+Only distinct fingerprints are indexed, so copies cost a row each in the first
+sum and in the last join, whose large keys adaptive execution splits. A variant that
 many fingerprints share is dealt out again under finer keys: the bits outside
 the segment are cut into ``max_bits + 1`` pieces, one of which must be equal.
 Within a bucket a spanning forest is emitted, never all pairs.
@@ -163,7 +164,7 @@ def _bucketed(rows: DataFrame, max_bits: int, large: int | None, width: int) ->
     """(kind, a, b): kind 0 are edges between fingerprints, kind 1 rows (key, fp) for the next round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_k, kept_f = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        kept: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the bucket that may go on
 
         def out(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
             us, vs, rest = _in_buckets(key, fp, max_bits, large)
@@ -178,16 +179,22 @@ def _bucketed(rows: DataFrame, max_bits: int, large: int | None, width: int) ->
                     cols = [np.full(len(a), kind, np.int32), a.view(np.int64), b.view(np.int64)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "a", "b"])
 
+        def joined() -> tuple[np.ndarray, np.ndarray]:
+            k, f = (np.concatenate(x) for x in zip(*kept))
+            kept.clear()
+            return k, f
+
         for b in batches:
-            k = np.concatenate([kept_k, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)])
-            f = np.concatenate([kept_f, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            k, f = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(2))
             if not len(k):
                 continue
-            last = np.searchsorted(k.view(np.int64), k.view(np.int64)[-1])  # this bucket may go on
-            yield from out(k[:last], f[:last]) if last else ()
-            kept_k, kept_f = k[last:], f[last:]
-        if len(kept_k):
-            yield from out(kept_k, kept_f)
+            last = np.searchsorted(k.view(np.int64), k.view(np.int64)[-1])
+            if last or (kept and kept[-1][0][-1] != k[0]):  # the bucket that went on is complete
+                kept.append((k[:last], f[:last]))
+                yield from out(*joined())
+            kept.append((k[last:], f[last:]))
+        if kept:
+            yield from out(*joined())
 
     dealt = rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
     return dealt.mapInArrow(released(run), "kind int, a long, b long")
