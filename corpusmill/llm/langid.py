@@ -7,12 +7,16 @@ vectors of a bounded sample of its training texts. A text gets the language of
 the centroid with the largest cosine, unless all centroids are too far.
 
 The inverse document frequencies cover all training documents; only the
-clustering works on a sample of about ``sample`` documents a language.
+clustering works on a sample of about ``sample`` documents a language, by the
+hash of id and text. At most ``languages`` languages are learned, the most
+frequent ones: a model must fit a worker, whatever stands in the column.
 
 Defined cases: a null text, a text without letters and any text when nothing
-was learned are ``und`` with score 0. Training rows with a null text or
+was learned, as from an empty table, are ``und`` with score 0. Training rows with a null text or
 language are left out. A null doc_id counts as the empty text when rows are
-dealt to training and held-out rows. Ties go to the first language by name.
+dealt to training and held-out rows. Rows that repeat id and text count each in
+the frequencies and once in the sample. Very long texts are read whole. Ties go
+to the first language by name. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,13 +42,14 @@ _kind_of: np.ndarray | None = None
 
 @dataclass(frozen=True)
 class Params:
-    """sample: training documents a language that are clustered, about; reject_below: the least cosine."""
+    """sample: training documents a language that are clustered, about; reject_below: the least cosine; languages: most that are learned."""
 
     centroids: int = 4
     sample: int = 1500
     rounds: int = 8
     reject_below: float = 0.0
     seed: int = 17
+    languages: int = 1000
 
 
 def _kinds() -> np.ndarray:
@@ -110,8 +115,8 @@ def cluster(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return c
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int, dict[str, int]]:
-    """Over docs(text, lang): document frequency by dimension, documents, documents by language."""
+def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Over docs(text): document frequency by dimension, and documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(DIMENSIONS, np.int64), 0
@@ -126,21 +131,23 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int, dict[str, in
     df = np.zeros(DIMENSIONS + 1, np.int64)
     for r in rows:
         df[r.i] = r.n
-    langs = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return df[:-1], int(df[-1]), langs
+    return df[:-1], int(df[-1])
 
 
 def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", p: Params = Params()):
     """(languages, centroids, idf) learned from the rows of docs where train holds."""
     rows = docs.filter(train & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = rows.select(F.xxhash64(F.lit(p.seed), F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    df, n, langs = document_frequencies(rows)
+    text = F.col(text_col).cast("string")
+    rows = rows.select(F.xxhash64(F.lit(p.seed), F.col(id_col), F.xxhash64(text)).alias("h"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    langs = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("m"), "lang").limit(p.languages).collect()
     if not langs:
         return [], np.zeros((0, DIMENSIONS), np.float32), idf
     # a uniform share of each language's rows, about p.sample of them
-    share = F.create_map(*(F.lit(x) for lang, m in langs.items() for x in (lang, min(1.0, p.sample / m))))
-    sample = rows.filter((F.pmod("h", F.lit(1_000_003)) / 1_000_003.0) < share[F.col("lang")])
+    share = rows.sparkSession.createDataFrame([(r.lang, min(1.0, p.sample / r.m)) for r in langs], "lang string, share double")
+    near = rows.join(F.broadcast(share), "lang").filter((F.pmod("h", F.lit(1_000_003)) / 1_000_003.0) < F.col("share"))
+    sample = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def centres(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         texts = [t.encode("utf-8", "replace") for t in pdf.sort_values(["h", "text"])["text"]]

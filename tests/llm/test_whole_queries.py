@@ -134,7 +134,7 @@ def clustered(vectors, k, rounds, seed):
 
 def test_language_query(spark, tiny):
     p = langid.Params()
-    rows = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang", F.xxhash64(F.lit(p.seed), "doc_id").alias("h")).collect()
+    rows = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang", F.xxhash64(F.lit(p.seed), "doc_id", F.xxhash64("text")).alias("h")).collect()
     held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows}
     train = [r for r in rows if not held[r.doc_id] and r.text is not None and r.lang is not None]
     counts = {id(r): ngram_counts(r.text) for r in rows}
