@@ -117,9 +117,10 @@ _add(
 _add(
     "adaptive_shingles_characters",
     lambda d: d.select("doc_id", T.characters(F.col("text")).alias("w")).select("doc_id", T.adaptive_shingles(F.col("w"), 5, "").alias("x")).select("doc_id", *_digest(F.col("x"))),
-    "SELECT doc_id, len(x)::BIGINT AS n_items, md5(array_to_string(x, chr(1))) AS items_md5 FROM (SELECT doc_id, CASE WHEN len(w) > 0 THEN"
-    f" list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], '')) ELSE [] END AS x"
-    f" FROM (SELECT doc_id, list_filter(string_split({_CLEAN}, ''), lambda c: c <> '') AS w FROM documents))",
+    f"WITH c AS (SELECT doc_id, list_filter(string_split({_CLEAN}, ''), lambda c: c <> '') AS w FROM documents), e AS (SELECT doc_id, unnest(w) AS ch, generate_subscripts(w, 1) AS pos FROM c),"
+    f" g AS (SELECT doc_id, pos, ch || {' || '.join(f'lead(ch, {k}) OVER w' for k in range(1, 5))} AS gram FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),"
+    " a AS (SELECT doc_id, count(gram) AS n, string_agg(gram, chr(1) ORDER BY pos) AS s FROM g GROUP BY doc_id)"
+    " SELECT doc_id, CASE WHEN len(w) >= 5 THEN n ELSE least(len(w), 1) END::BIGINT AS n_items, md5(CASE WHEN len(w) >= 5 THEN s ELSE array_to_string(w, '') END) AS items_md5 FROM c LEFT JOIN a USING (doc_id)",
 )
 
 _HASH32 = "('0x' || substr({0}, 7, 2) || substr({0}, 5, 2) || substr({0}, 3, 2) || substr({0}, 1, 2))::BIGINT"
