@@ -7,9 +7,10 @@ rejected. Beside that a document is rejected outright if it has too few words
 or is made up of repeated passages (the base rules).
 
 Defined cases: a null or empty text has no words, fails the base rules and is
-not kept. A line without words is never a failure, it is simply not counted. Repeated
+not kept. Of lines that tie, being equal, the first stays. An empty table gives no
+rows; other columns are not read, or kept as they are by cleaned(). A line without words is never a failure, it is simply not counted. Repeated
 rows are judged each by itself; a null id is carried along. The work is done
-slice by slice, so memory depends on the longest text, not on the table.
+slice by slice, so memory depends on the longest text, which is judged whole.
 """
 
 from __future__ import annotations
@@ -36,16 +37,23 @@ SEPARATORS = re.compile(r"\s[|»›·•→/]\s|\s>\s")
 #: Entries of menus.
 NAVIGATION = frozenset(
     "home about contact menu search login logout register help faq blog news next previous prev back more top share print"
-    " subscribe sitemap shop cart account archive categories tags index".split()
+    " subscribe sitemap shop cart account archive categories tags index"
+    " startseite impressum kontakt datenschutz anmelden suche hilfe warenkorb accueil recherche connexion aide panier contactez"
+    " inicio contacto buscar acceso ayuda carrito".split()
 )
 #: Phrases of lines that are not the author's text.
 BOILERPLATE = re.compile(
     r"all rights reserved|cookie policy|privacy policy|terms of (?:use|service)|lorem ipsum|enable javascript|subscribe to our"
-    r"|click here|read more|sign up (?:for|to)|powered by|copyright \(c\)|©|skip to content",
+    r"|click here|read more|sign up (?:for|to)|powered by|copyright \(c\)|©|skip to content"
+    r"|alle rechte vorbehalten|datenschutzerklärung|tous droits réservés|politique de confidentialité|todos los derechos reservados|política de privacidad",
     re.I,
 )
 
 
+#: Letters of scripts that are written without spaces, of which a word may be a whole sentence.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+
+
 @dataclass(frozen=True)
 class Rules:
     """Bounds of the base rules and of the line rules."""
@@ -55,6 +63,7 @@ class Rules:
     max_repeat_percent: int = 20
     max_symbols_per_word: float = 0.3
     short_line: int = 3
+    unspaced_letters: int = 10
     boilerplate_words: int = 25
     shout_words: int = 3
     repeat_words: int = 10
@@ -75,9 +84,9 @@ def line_fails(line: str, rules: Rules = Rules()) -> str | None:
         return "shouting"
     ends = ENDS.search(line.rstrip())
     if not ends:
-        if n <= rules.short_line or all(w.lower().strip("/|>»›·•→") in NAVIGATION or len(w) == 1 for w in words):
+        if n <= rules.short_line and len(UNSPACED.findall(line)) < rules.unspaced_letters or all(w.lower().strip("/|>»›·•→") in NAVIGATION or len(w) == 1 for w in words):
             return "navigation"
-        if not MARKS.search(line):
+        if not MARKS.search(line) and len(UNSPACED.findall(line)) < rules.unspaced_letters:
             return "punctuation"
     if n <= rules.boilerplate_words and BOILERPLATE.search(line):
         return "boilerplate"

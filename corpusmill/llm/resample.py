@@ -17,7 +17,8 @@ rows do, are all selected.
 
 Defined cases: a null or empty text has no n-grams and log weight 0. The noise
 depends on the doc_id and the seed alone; a null doc_id counts as an id of its
-own. Labels without a document have no effect; repeated labels count once.
+own. Very long texts are weighed whole, slice by slice of a batch. An empty table
+gives no rows. Other columns are not read. Labels without a document have no effect; repeated labels count once.
 Without target rows all weights are 0; without labels all documents are selected.
 """
 

@@ -177,10 +177,11 @@ def fails(line):
     if n >= 3 and letters and not any(c.islower() for c in line) and any(c.isupper() for c in line):
         return True
     ended = regex.search(r"[.!?…:;。！？：；।؟؛][\"'”’»)\]]*$", line.strip())
+    dense = sum(bool(regex.match(r"[\p{Thai}\p{Lao}\p{Myanmar}\p{Khmer}\p{Hiragana}\p{Katakana}\p{Han}]", c)) for c in line) >= 10
     if not ended:
-        if n <= 3 or all(len(w) == 1 or w.lower().strip("/|>»›·•→") in quality.NAVIGATION for w in words):
+        if n <= 3 and not dense or all(len(w) == 1 or w.lower().strip("/|>»›·•→") in quality.NAVIGATION for w in words):
             return True
-        if not any(c in ".,;:!?…。，、；：！？।؟،؛" for c in line):
+        if not dense and not any(c in ".,;:!?…。，、；：！？।؟،؛" for c in line):
             return True
     if n <= 25 and quality.BOILERPLATE.search(line):
         return True
@@ -210,7 +211,7 @@ def test_quality_query(spark, tiny):
 
 def test_quality_of_odd_rows(spark):
     good = "This is a clean sentence with more than ten words, as anyone can see."
-    texts = [None, "", " \n\t", good, good + "\nHome | About | Contact\n" + good, "\n".join(f"{good} {k}." for k in range(20_000)), "SHOUT AT ALL OF THEM NOW!\n" + good, "ein　zwei drei", "短い行です\nこれは長い行です。"]
+    texts = [None, "", " \n\t", good, good + "\nHome | About | Contact\n" + good, "\n".join(f"{good} {k}." for k in range(20_000)), "SHOUT AT ALL OF THEM NOW!\n" + good, "ein　zwei drei", "短い行です\nこれは長い行です。", "\n".join(f"これは句点のない長い行です {k} 番目" for k in range(5)), "Startseite Kontakt Impressum Hilfe\n" + good]
     df = spark.createDataFrame([(i, t, True, 3) for i, t in enumerate(texts)] + [(None, good, False, 1), (3, good, False, 1)], "doc_id long, text string, kept boolean, n_words int")
     got = sorted(((r.doc_id is None, r.doc_id or 0), (r.n_clean_words, r.base_failed, r.kept)) for r in quality.verdicts(df).collect())
     assert got == sorted([((False, i), verdict(t)) for i, t in enumerate(texts)] + [((True, 0), verdict(good)), ((False, 3), verdict(good))])
