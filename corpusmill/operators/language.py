@@ -69,7 +69,8 @@ def distribution(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     All non-blank lines are scored, or at most `lines`: the first, or with a seed a seeded sample. Documents without lines have no row.
     """
-    flat = profiles(docs, id_col, text_col, scorer, langs, lines, seed).select("doc_id", "n_lines", F.explode("profile").alias("p"))
+    # outer, for else a filter on the profile's size is pushed down, and the lines are scored again for it
+    flat = profiles(docs, id_col, text_col, scorer, langs, lines, seed).select("doc_id", "n_lines", F.explode_outer("profile").alias("p")).filter("p IS NOT NULL")
     return flat.select("doc_id", "p.lang", (F.col("p.n") / F.col("n_lines")).alias("frequency"), "p.median_score")
 
 

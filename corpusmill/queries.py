@@ -13,6 +13,7 @@ from corpusmill.functions import text as T
 from corpusmill.functions.lexicons import FLAGGED, LANGUAGE_NAMES, PUNCTUATION, PUNCTUATION_MAP, SPACE_CLASS, STOPWORDS, WIDE_SPACES, WITH_FLAGGED, WITH_STOPWORDS, special_characters
 from corpusmill.operators import boilerplate, features, language, minhash, perplexity, quality, sampling
 from corpusmill.operators.components import connected_components
+from corpusmill.session import spread
 from corpusmill.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents")
+    return spread(_table(spark, sf_dir, "documents"))
 
 
 def _add(name: str, query: Callable[[DataFrame], DataFrame], sql: str | None = None) -> None:

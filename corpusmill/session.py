@@ -31,6 +31,22 @@ def build_session(master: str | None = None, app: str = "corpusmill", **conf: st
     return b.getOrCreate()
 
 
+#: A table of fewer bytes for each core, in fewer files than there are cores, is dealt out to all of them.
+SMALL_SHARE = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table in few files, whose row groups only few tasks could read, over all cores; any other as it is.
+
+    Larger tables have row groups enough, and are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if cores < 2 or size > SMALL_SHARE * cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
