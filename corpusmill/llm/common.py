@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.session import spread
+
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
@@ -25,7 +27,7 @@ SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 class Texts:
