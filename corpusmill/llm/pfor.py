@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 import zlib
 from bisect import bisect_right
@@ -278,9 +279,9 @@ def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
         coded = pc.filter(flat := split.flatten(), filled := pc.not_equal(flat, "")).dictionary_encode()  # white space at the ends leaves empty words
         cuts = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[cuts]
         words = coded.dictionary
-        # a letter and a mark are always cut apart, so words with and without marks at their end share their ids
+        # letters and the marks after them are always cut apart, so words with and without marks at their end share their ids
         lower = pc.ascii_lower(words)
-        core = pc.ascii_rtrim(lower, ".,;:!?")
+        core = pc.ascii_rtrim(lower, string.punctuation)
         plain = of_letters(core)
         special = pc.match_substring(words, "<|")  # may be a special token: as it is
         core = pc.if_else(plain, core, pc.if_else(special, words, lower))
