@@ -272,10 +272,6 @@ _add(
     f"""WITH {_CHAR_SQL} SELECT doc_id, 'repetition' AS reason FROM f WHERE character_repetition_ratio > 0.4 UNION ALL SELECT doc_id, 'entropy' FROM f WHERE char_entropy < 3
 UNION ALL SELECT doc_id, 'special' FROM f WHERE special_character_ratio > 0.5 UNION ALL SELECT doc_id, 'length' FROM f WHERE document_length < 100 OR document_length > 10000000""",
 )
-_add(
-    "keep_drop_joined",
-    lambda d: quality.keep_drop(features.char_features(d), language.top1(language.distribution(d)), _perplexities(d), replace(_PROFILE, perplexity_max=14.0)).select("doc_id", "keep", "drop"),
-)
 _add(
     "violation_report",
     lambda d: sampling.violation_report(d, quality.violations(features.char_features(d))),
@@ -465,6 +461,12 @@ FROM sc GROUP BY doc_id"""
 
 
 _add("perplexity", _perplexity_parts, _perplexity_sql())
+_UNDER = f"coalesce({_KEEP} AND round((start_perplexity + middle_perplexity + end_perplexity) / 3, 2) <= 14, false)"
+_add(
+    "keep_drop_joined",
+    lambda d: quality.keep_drop(features.char_features(d), language.top1(language.distribution(d)), _perplexities(d), replace(_PROFILE, perplexity_max=14.0)).select("doc_id", "keep", "drop"),
+    f"WITH {_CHAR_SQL}, {_LANG_SQL}, px AS ({_perplexity_sql()}) SELECT doc_id, {_UNDER} AS keep, NOT {_UNDER} AS drop FROM f LEFT JOIN top USING (doc_id) LEFT JOIN px USING (doc_id)",
+)
 _add("perplexity_fixed_length", lambda d: _perplexity_parts(d, 100), _perplexity_sql("[1:100]"))
 
 # Splits, samples, shapes
