@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import string
+import sys
+from functools import lru_cache
 
+import regex
 from pyspark.sql import SparkSession
 
 PUNCTUATION = string.punctuation
@@ -29,16 +32,12 @@ OTHER_SPECIAL = (
     "÷１‟；،、¨ाাी्े◦˚゜ʼ≖ʼ¤ッツシ℃√！【】‿∞➤～πه۩☛₨➩☻๑٪♥ıॽ《‘©﴿٬？▷Г♫∟™ª₪®「—❖」﴾》"
 )
 
-#: Ranges of code points that are emoji by themselves.
-EMOJI_RANGES = (
-    (0x231A, 0x231B), (0x23E9, 0x23F3), (0x2600, 0x2604), (0x2614, 0x2615), (0x2648, 0x2653), (0x26AA, 0x26AB), (0x26BD, 0x26BE),
-    (0x2753, 0x2755), (0x2795, 0x2797), (0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F900, 0x1F9FF), (0x1FA70, 0x1FAFF),
-)
-
 
+@lru_cache(maxsize=1)
 def special_characters() -> frozenset[str]:
-    emoji = (chr(c) for a, b in EMOJI_RANGES for c in range(a, b + 1))
-    return frozenset([*PUNCTUATION, *string.digits, *string.whitespace, *OTHER_SPECIAL, *emoji])
+    """The listed characters and those with Unicode's property of an emoji."""
+    known = "".join(chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    return frozenset([*PUNCTUATION, *string.digits, *string.whitespace, *OTHER_SPECIAL, *regex.findall(r"\p{Emoji}", known)])
 
 
 #: The commonest words of the languages that the default line scorer knows.

@@ -51,6 +51,8 @@ def test_char_features(spark):
     assert got[1].char_entropy == 1.0 and got[1].special_character_ratio == 0.0 and got[1].character_repetition_ratio == 0.0
     assert got[2].document_length == got[3].document_length == 0 and got[3].char_entropy == 0.0
     assert got[4].special_character_ratio == 0.75
+    marks = spark.createDataFrame([(1, "a☃😀™é中")], "doc_id long, text string")
+    assert features.char_features(marks).first().special_character_ratio == 0.5
 
 
 def test_keep_is_inclusive_and_missing_fails(spark):
@@ -327,6 +329,16 @@ def test_working_tables_go_with_their_scope(spark):
     assert session.stored(df, "stays").count() == 3
 
 
+def test_small_tables_are_spread(spark, tmp_path):
+    from corpusmill import session
+
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.range(100).repartition(9).write.parquet(f"{tmp_path}/many")
+    one_file, many = spark.read.parquet(f"{tmp_path}/one"), spark.read.parquet(f"{tmp_path}/many")
+    assert session.spread(one_file).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert session.spread(many) is many and sorted(r.id for r in session.spread(one_file).collect()) == list(range(100))
+
+
 def test_entry_lives_without_optional_packages(tmp_path):
     """A package that only the subpackage needs is missing: the library's queries are still there."""
     import os
