@@ -102,11 +102,31 @@ def scope(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
+#: Rows of an Arrow batch while a working table is written. Whole texts go between the JVM and its workers, and several batches are held at a time.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_ROWS rows at most for what is executed inside."""
+    before = spark.conf.get(_BATCH)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write df as Parquet in the shared folder; returns the path."""
     path = table_path(df.sparkSession, name)
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    with small_batches(df.sparkSession):
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return path
 
 
