@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.llm.common import CACHES, released, slices, table, utf8
-from corpusmill.session import table_path
+from corpusmill.session import small_batches, table_path
 
 BLOCK = 128
 MAGIC = b"PFR1"
@@ -64,6 +64,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LINE = 256
 
 _encoders: dict[str, Callable] = {}
+CACHES.append(_encoders)
 
 
 def _bits(x: np.ndarray, width: int) -> np.ndarray:
@@ -233,7 +234,6 @@ def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
         _encoders[path] = lambda texts: each([t or b"" for t in texts.cast(pa.binary()).to_pylist()])
         return _encoders[path]
     known = Words()
-    CACHES.append(known)
     closes = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
     closes[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
@@ -401,7 +401,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: s
     kind = rows.schema["doc_id"].dataType.simpleString()
     placed = rows.repartitionById(parts, "part").sortWithinPartitions("doc_id", "tie", "ids")
     segments = placed.select("doc_id", "ids").mapInArrow(released(run), f"shard int, seq int, offset long, doc_ids array<{kind}>, n_tokens array<long>, data binary")
-    segments.write.option("compression", "none").parquet(f"{path}/segments")
+    with small_batches(docs.sparkSession):
+        segments.write.option("compression", "none").parquet(f"{path}/segments")
     spark = docs.sparkSession
     totals = spark.read.parquet(f"{path}/segments").select("shard", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     # a row for each shard, of which there are as many as partitions
