@@ -13,16 +13,21 @@ pages: two at least, and a ``share`` of the host's. They are the host's boilerpl
 that markup leaves open and that they cover go; of other blocks runs of ``length``
 tokens or more that they cover are cut out, and the unique runs stay.
 
-A host of more than ``piece`` tokens is split into pieces, each with a suffix
-array of its own. Its pieces then report all their substrings of ``length``
-tokens with the number of pages, and the counts are summed up; substrings of
-that length tell what longer ones cover. So a host with a third of all pages is
-many tasks' work. What is boilerplate stands on a share of the pages, so a host has few
-such substrings, however many pages it has.
+The articles of a host have a suffix array of their own, in which articles of
+the same text count once. What authors repeat is an article's text and stays;
+what stands in nearly all articles of a host, ``ARTICLES`` says of how many, is its
+template: notices and adverts that no markup names. Blocks that it covers whole
+go. An article that would lose more than half of its words is a version of
+others and stays whole. Nothing beside an article belongs to the text, and
+blocks that the markup names as menu, advert and the like go even if unique.
 
-The result has to hold an article's text even where it is repeated on other
-pages, and nothing that stands beside the article. So on pages with an article
-markup decides alone; blocks that the markup names as menu, advert and the like go even if unique.
+A host of more than ``piece`` tokens is split into pieces, each with a suffix
+array of its own. What stands on a share of the pages does so in one piece at
+least: a piece reports those substrings of ``length`` tokens, and they are
+counted on all pages of the host; substrings of that length tell what longer
+ones cover. So a host with a third of all pages is many tasks' work. What is
+boilerplate stands on a share of the pages, so a host has few such substrings,
+however many pages it has.
 
 Defined cases: a null or empty html and one without text give the empty
 text. A null url belongs to the host without a name. Rows that repeat a
@@ -84,7 +89,7 @@ TEXT, PART, OPEN = 0, 1, 2  # of the article; of a part that is no text; outside
 
 @dataclass(frozen=True)
 class Params:
-    """length: tokens of the shortest repeat; pages, share: distinct pages that it must stand on; piece: tokens of a suffix array."""
+    """length: tokens of the shortest repeat; pages, share: distinct pages that it must stand on; piece: most tokens of a suffix array."""
 
     length: int = 8
     pages: int = 2
@@ -92,6 +97,10 @@ class Params:
     piece: int = 2_000_000
 
 
+#: Of articles: what stands in nine of ten of a host's, five at least, is no author's.
+ARTICLES = Params(pages=5, share=0.9, piece=1_500_000)
+
+
 @dataclass
 class Page:
     texts: list[str] = field(default_factory=list)
@@ -234,6 +243,25 @@ def stream(page: Page) -> tuple[list[int], list[int]]:
     return [*tokens, END], [*owner, -1]
 
 
+def article_stream(body: str, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """What stream gives, for the blocks of an article's text. known remembers words."""
+    words, sizes = [], []
+    for text in body.split("\n\n"):
+        own = text.lower().split()
+        words += ["\0", *own]
+        sizes.append(len(own) + 1)
+    if len(known) > KNOWN:
+        known.clear()
+    found = list(map(known.get, words))
+    if None in found:
+        for w in {w for w, n in zip(words, found) if n is None}:
+            known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) >> 1
+        found = list(map(known.get, words))
+    return np.array([*found, END], np.int64), np.r_[np.repeat(np.arange(len(sizes)), sizes), -1]
+
+
+#: Words that a worker remembers at most between two articles.
+KNOWN = 100_000
 #: The token of a page's end.
 END = xxhash.xxh64_intdigest(b"\0") >> 1
 
@@ -281,20 +309,30 @@ def suffix_array(streams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.
     """Of the concatenated streams: the suffixes in order, the common prefix of each with the one before it, the page of each token, all tokens.
 
     Suffixes are sorted by doubling; a common prefix never leaves its page. Its length comes from the ranks of each doubling, the longest first.
+    A rank is the place of the first suffix that shares it, so that only shared ones are worked on again.
     """
     sizes = np.array([len(x) for x in streams], np.int64)
     x = np.concatenate(streams) if len(streams) else np.zeros(0, np.int64)
     page = np.repeat(np.arange(len(sizes)), sizes)
     room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(x))  # tokens to the page's end
-    rank = np.unique(x, return_inverse=True)[1].astype(np.int64)
+    _, code, n = np.unique(x, return_inverse=True, return_counts=True)
+    rank, open_ = (np.cumsum(n) - n)[code], np.flatnonzero(n[code] > 1)
     spans, ranks, span = [1], [rank], 1
-    while span < (sizes.max() if len(sizes) else 0) and rank.max() < len(x) - 1:
-        follow = np.full(len(x), -1, np.int64)
-        inner = np.flatnonzero(room > span)
-        follow[inner] = rank[inner + span]
-        follow[room <= span] = -1 - page[room <= span] - 1  # past its end no two pages are alike
-        low = follow.min()
-        rank = np.unique(rank * (follow.max() - low + 1) + (follow - low), return_inverse=True)[1].astype(np.int64)
+    while span < (sizes.max() if len(sizes) else 0) and len(open_):
+        inner = room[open_] > span
+        follow = -2 - page[open_]  # past its end no two pages are alike
+        follow[inner] = rank[open_[inner] + span]
+        own, low = rank[open_], follow.min()
+        key = own * (follow.max() - low + 1) + (follow - low)
+        at = np.argsort(key, kind="stable")
+        key, own = key[at], own[at]
+        first = np.r_[True, key[1:] != key[:-1]]  # of those that stay together
+        head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        since = np.arange(len(at)) - np.repeat(head, np.diff(np.r_[head, len(at)]))
+        group = np.cumsum(first) - 1
+        rank = rank.copy()
+        rank[open_[at]] = own + since[first][group]
+        open_ = open_[at[np.bincount(group)[group] > 1]]
         span *= 2
         spans.append(span)
         ranks.append(rank)
@@ -336,17 +374,82 @@ def names_of(tokens: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return name.view(np.int64)
 
 
+def share_of(pages: int, p: Params) -> int:
+    """The share of these pages, rounded up."""
+    return -(-int(pages * p.share * 1000) // 1000)
+
+
 def enough(pages: int, p: Params) -> int:
     """How many of a host's distinct pages a substring must stand on."""
-    return max(p.pages, -(-int(pages * p.share * 1000) // 1000))
+    return max(p.pages, share_of(pages, p))
+
+
+#: Parts in which a host's pages meet its boilerplate.
+SALT = 32
+
+
+def streams_of(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """The streams of each row of a column of tokens, of articles' texts or of packed ones."""
+    known: dict[str, int] = {}
+    for x in column:
+        if isinstance(x, pa.ListScalar):
+            yield [x.values.to_numpy()]
+        elif isinstance(x, pa.BinaryScalar) and not isinstance(x, pa.StringScalar):
+            whole = x.as_py()
+            texts = pa.decompress(whole[8:], int.from_bytes(whole[:8], "little"), codec="zstd", asbytes=True)
+            yield [article_stream(t, known)[0] for t in texts.decode("utf-8", "surrogatepass").split(BETWEEN)]
+        else:
+            yield [article_stream(x.as_py(), known)[0]]
+
+
+#: What stands between packed articles: white space, which blocks hold none of but blanks.
+BETWEEN = "\x1e"
+#: Characters of articles that are packed together, about.
+PACK = 1 << 20
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """rows(host, at, pages, pieces, told) with the articles that come together compressed as one: less is moved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held: dict[tuple, list[str]] = {}
+            sizes: dict[tuple, int] = {}
+            spots, told = [], []
+
+            def out(spot: tuple) -> None:
+                whole = BETWEEN.join(held.pop(spot)).encode("utf-8", "surrogatepass")
+                spots.append(spot)
+                told.append(len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True))
+
+            for *spot, text in zip(*(b.column(k).to_pylist() for k in range(5))):
+                spot = tuple(spot)
+                held.setdefault(spot, []).append(text)
+                sizes[spot] = sizes.get(spot, 0) + len(text)
+                if sizes[spot] >= PACK:
+                    out(spot)
+                    sizes[spot] = 0
+            for spot in list(held):
+                out(spot)
+            cols = [pa.array([x[k] for x in spots], b.column(k).type) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(told, pa.binary())], ["host", "at", "pages", "pieces", "told"])
+
+    return rows.mapInArrow(released(run), "host string, at int, pages long, pieces int, told binary")
 
 
 def boilerplate(rows: DataFrame, p: Params) -> DataFrame:
-    """(host, names): the names of each host's repeated substrings of `length` tokens."""
-    distinct = rows.groupBy("host", "content").agg(F.min("key").alias("key"))
-    one = rows.select("key", "host", "tokens").join(distinct.select("key"), "key", "left_semi")
-    hosts = one.groupBy("host").agg(F.sum(F.size("tokens")).alias("size"), F.count(F.lit(1)).alias("pages"))
-    hosts = stored(hosts.filter("pages > 1").withColumn("pieces", F.ceil(F.col("size") / p.piece).cast("int")), "html-hosts")
+    """(host, names): the names of each host's repeated substrings of `length` tokens, from rows(key, host, content, size, told).
+
+    told holds the tokens or an article's text; size is the most tokens that it may be.
+    """
+    keys = stored(rows.select("key", "host", "content", "size"), "html-keys")
+    distinct = stored(keys.groupBy("host", "content").agg(F.min("key").alias("key"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n")), "html-distinct")
+    hosts = distinct.groupBy("host").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("pages"))
+    hosts = stored(hosts.filter(F.col("pages") >= p.pages).withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col("size") / p.piece)).cast("int")), "html-hosts")
+    # copies are less than what stays, so that is what is joined
+    copied = distinct.filter("n > 1").select("host", "content", F.col("key").alias("first"))
+    copies = stored(keys.join(copied, ["host", "content"]).filter("key <> first").select("key"), "html-copies")
+    one = rows.join(copies, "key", "left_anti").select("key", "host", "told")
     placed = one.join(hosts, "host").withColumn("at", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,40 +458,87 @@ def boilerplate(rows: DataFrame, p: Params) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             if held:
                 host, _, pages, pieces = where
-                # a piece of several doesn't know the others' pages
-                at, n = repeats(held, p.length, enough(pages, p) if pieces == 1 else 1)
+                # what is on a share of all pages is on that share of the pages of one piece at least
+                at, _ = repeats(held, p.length, enough(pages, p) if pieces == 1 else max(1, share_of(len(held), p)))
                 name = names_of(np.concatenate(held), at, p.length)
                 for k in range(0, len(name), 100_000):
                     m = len(name[k : k + 100_000])
-                    cols = [pa.array([host] * m, pa.string()), pa.array([pages] * m, pa.int64()), pa.array(name[k : k + m]), pa.array(n[k : k + m].astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(cols, ["host", "pages", "name", "n"])
+                    cols = [pa.array([host] * m, pa.string()), pa.array([pages] * m, pa.int64()), pa.array([pieces] * m, pa.int32()), pa.array(name[k : k + m])]
+                    yield pa.RecordBatch.from_arrays(cols, ["host", "pages", "pieces", "name"])
 
         for b in batches:
-            tokens = b.column(4)
-            for i, spot in enumerate(zip(*(b.column(k).to_pylist() for k in range(4)))):
+            for spot, streams in zip(zip(*(b.column(k).to_pylist() for k in range(4))), streams_of(b.column(4))):
                 if spot != where:
                     yield from out()
                     held, where = [], spot
-                held.append(tokens[i].values.to_numpy())
+                held += streams
         yield from out()
 
-    dealt = placed.select("host", "at", "pages", "pieces", "tokens").repartition("host", "at").sortWithinPartitions("host", "at")
-    counted = dealt.mapInArrow(released(run), "host string, pages long, name long, n long")
+    placed = placed.select("host", "at", "pages", "pieces", "told")
+    if placed.schema["told"].dataType.simpleString() == "string":
+        placed = packed(placed)
+    dealt = placed.repartition("host", "at").sortWithinPartitions("host", "at")
+    found = stored(dealt.mapInArrow(released(run), "host string, pages long, pieces int, name long").distinct(), "html-found")
+    told = found.filter("pieces = 1").select("host", "name")
+    split = found.filter("pieces > 1")
+    if split.limit(1).count():
+        told = told.union(_counted(one, split, p))
+    return told.groupBy("host").agg(F.collect_list("name").alias("names"))  # each on a share of the pages, so they are few
+
+
+def _counted(pages: DataFrame, found: DataFrame, p: Params) -> DataFrame:
+    """(host, name): those of found(host, pages, name) that stand on enough of all pages(key, host, told)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, names = [], []
+            for host, (own,), wanted in zip(b.column(0).to_pylist(), streams_of(b.column(1)), b.column(2)):
+                here = np.unique(names_of(own, np.arange(max(0, len(own) - p.length + 1)), p.length))
+                here = here[np.isin(here, wanted.values.to_numpy())]
+                hosts += [host] * len(here)
+                names.append(here)
+            flat = np.concatenate(names) if names else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(flat, pa.int64())], ["host", "name"])
+
+    lists = found.groupBy("host").agg(F.collect_list("name").alias("names"), F.first("pages").alias("pages"))
+    met = _met(pages, stored(lists.select("host", "names"), "html-wanted"), "inner")
+    counts = met.select("host", "told", "names").mapInArrow(released(run), "host string, name long").groupBy("host", "name").agg(F.count(F.lit(1)).alias("n"))
     least = F.greatest(F.lit(p.pages), F.ceil(F.floor(F.col("pages") * p.share * 1000) / 1000))
-    found = counted.groupBy("host", "name").agg(F.sum("n").alias("n"), F.first("pages").alias("pages")).filter(F.col("n") >= least)
-    return found.groupBy("host").agg(F.collect_list("name").alias("names"))  # each on a share of the pages, so they are few
+    return counts.join(lists.select("host", "pages"), "host").filter(F.col("n") >= least).select("host", "name")
+
+
+def _met(rows: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """rows(key, host, ...) with the names of their host; a hot host's rows meet them in SALT parts."""
+    salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return rows.withColumn("salt", F.pmod("key", F.lit(SALT)).cast("int")).join(salted, ["host", "salt"], how)
+
+
+def covered(tokens: np.ndarray, names: np.ndarray, length: int) -> np.ndarray:
+    """Whether a substring of these names covers each token."""
+    if not len(names) or len(tokens) < length:
+        return np.zeros(len(tokens), bool)
+    at = np.arange(len(tokens) - length + 1)
+    hit = at[np.isin(names_of(tokens, at, length), names)]
+    edge = np.zeros(len(tokens) + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + length, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def cut_article(body: str, names: np.ndarray, length: int, known: dict[str, int]) -> str:
+    """The article's text without the blocks that substrings of these names cover whole, unless those are more than half of it."""
+    tokens, owner = article_stream(body, known)
+    gone, texts = covered(tokens, names, length), body.split("\n\n")
+    left = np.unique(owner[~gone & (owner >= 0)])
+    words = np.bincount(owner[owner >= 0], minlength=len(texts)) - 1  # without the mark
+    if len(left) == len(texts) or 2 * words[left].sum() < words.sum():
+        return body
+    return "\n\n".join(texts[i] for i in left)
 
 
 def cut(texts: list[str], kinds: list[int], tokens: np.ndarray, owner: np.ndarray, names: np.ndarray, length: int) -> str:
     """The page's text: what no substring of these names covers, of the blocks that markup leaves open."""
-    gone = np.zeros(len(tokens), bool)
-    if len(names) and len(tokens) >= length:
-        at = np.arange(len(tokens) - length + 1)
-        hit = at[np.isin(names_of(tokens, at, length), names)]
-        edge = np.zeros(len(tokens) + 1, np.int64)
-        np.add.at(edge, hit, 1)
-        np.add.at(edge, hit + length, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+    gone = covered(tokens, names, length)
     out = []
     for i, (text, kind) in enumerate(zip(texts, kinds)):
         if kind == OPEN:
@@ -408,32 +558,42 @@ def cut(texts: list[str], kinds: list[int], tokens: np.ndarray, owner: np.ndarra
     return "\n\n".join(out)
 
 
-#: Parts in which a host's open pages meet its boilerplate.
-SALT = 32
-
-
-def extract(pages: DataFrame, p: Params = Params()) -> DataFrame:
-    """(page_id, url, text, n_chars) for each row of pages(page_id, url, html)."""
+def extract(pages: DataFrame, p: Params = Params(), inner: Params = ARTICLES) -> DataFrame:
+    """(page_id, url, text, n_chars) for each row of pages(page_id, url, html); p tells what repeats outside of articles, inner inside."""
     rows = stored(parsed(pages), "html-blocks")
-    whole = rows.filter("body IS NOT NULL").select("page_id", "url", F.col("body").alias("text"))
+    kind = rows.schema["page_id"].dataType.simpleString()
+    made = f"page_id {kind}, url string, text string"
     loose = rows.filter("body IS NULL")
+    whole = rows.filter("body IS NOT NULL")
+    # an article's content is its text; a token takes two characters or more
+    articles = whole.filter("body <> ''").select("key", "host", F.xxhash64("body").alias("content"), (F.length("body") / 2 + 2).cast("int").alias("size"), F.col("body").alias("told"))
+    within = stored(boilerplate(articles, inner), "html-template")
+    if within.limit(1).count():
+
+        def run_articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[str, int] = {}
+            for b in batches:
+                texts = [cut_article(x, np.array(n, np.int64), inner.length, known) if x and n else x for x, n in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+        out = _met(whole, within, "left").select("page_id", "url", "body", "names").mapInArrow(released(run_articles), made)
+    else:
+        out = whole.select("page_id", "url", F.col("body").alias("text"))
     hosts = stored(loose.select("host").distinct(), "html-open")
     if hosts.limit(1).count():
-        found = boilerplate(rows.join(hosts, "host", "left_semi"), p).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        met = loose.withColumn("salt", F.pmod("key", F.lit(SALT)).cast("int")).join(found, ["host", "salt"], "left")
+        found = boilerplate(rows.join(hosts, "host", "left_semi").withColumn("size", F.size("tokens")).withColumnRenamed("tokens", "told"), p)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                made = []
+                texts_made = []
                 for texts, kinds, tokens, owner, names in zip(*(b.column(k) for k in range(2, 7))):
                     numbers = [np.array(x.as_py() or [], np.int64) for x in (tokens, owner, names)]
-                    made.append(cut(texts.as_py(), kinds.as_py(), *numbers, p.length))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.string())], ["page_id", "url", "text"])
+                    texts_made.append(cut(texts.as_py(), kinds.as_py(), *numbers, p.length))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts_made, pa.string())], ["page_id", "url", "text"])
 
-        kind = rows.schema["page_id"].dataType.simpleString()
-        texts = met.select("page_id", "url", "blocks", "kinds", "tokens", "owner", "names").mapInArrow(released(run), f"page_id {kind}, url string, text string")
-        whole = whole.union(texts)
-    return whole.withColumn("n_chars", F.length("text").cast("long"))
+        texts = _met(loose, found, "left").select("page_id", "url", "blocks", "kinds", "tokens", "owner", "names").mapInArrow(released(run), made)
+        out = out.union(texts)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,33 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {r.text for r in got} == {"a page of which the crawl has many copies, all of them the same"}
 
 
+@pytest.mark.parametrize("piece", [html.ARTICLES.piece, 150])
+def test_the_template_inside_articles_goes(spark, piece):
+    """What nearly all articles of a host hold, as whole blocks; also where a host is split into pieces."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(3000)]
+    notice, usual = "Sign up here to get our best stories of the week by mail", "a passage that half of the authors of this host like to quote"
+
+    def page(blocks, beside=""):
+        return f"<body><div>{beside}</div><article>{''.join(f'<p>{b}</p>' for b in blocks)}</article>"
+
+    want, rows = {}, []
+    for i in range(40):  # the notice is in 38 of 40
+        text = [" ".join(rng.choice(words, 30)) for _ in range(2)] + [usual] * (i % 2)
+        rows.append((i, "http://a.example/x", page([text[0], *[notice] * (i % 20 > 0), "Follow us", *text[1:]], f"beside {i}")))
+        want[i] = "\n\n".join([text[0], "Follow us", *text[1:]])
+    rows += [(40 + k, "http://a.example/y", page([f"{notice} {k}"], k)) for k in range(3)]  # more than the template: stays
+    rows += [(50 + k, "http://b.example/x", page([notice, f"own words {k}"])) for k in range(4)]  # too few to tell
+    long = " ".join(rng.choice(words, 60))
+    rows += [(60 + k, "http://c.example/x", page([f"version {k}", long, notice], k)) for k in range(9)]  # versions of an article
+    rows += [(70 + k, "http://d.example/x", page([long, notice], k)) for k in range(9)]  # one article under many adverts
+    for i, _, h in rows[40:]:
+        want[i] = "\n\n".join(t for t, k in zip(html.parse(h).texts, html.parse(h).kinds) if k == html.TEXT)
+    inner = html.Params(pages=html.ARTICLES.pages, share=html.ARTICLES.share, piece=piece)
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), inner=inner).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize(
     "inner,text",
     [
