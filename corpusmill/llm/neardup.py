@@ -1,17 +1,21 @@
 """Near-duplicates by verified Jaccard similarity of 5-word shingles.
 
-Candidates come from MinHash: ``BANDS`` bands of ``ROWS`` values each, so that
-a pair of similarity s meets in a bucket with probability
-1 - (1 - s**ROWS)**BANDS, which is 0.999 at 0.8. Every link is then verified on
+Candidates come from op9's SimHash first: fingerprints within ``NEAR`` bits are
+found by their one-wildcard segment variants, and what they connect is a bucket.
+``NEAR`` is the widest radius whose segments stay long enough for very many
+fingerprints. Similar texts lie up to 11 bits apart, so fingerprints alone would
+lose links; for those that lie farther apart come MinHash buckets: ``BANDS``
+bands of ``ROWS`` values each, in which a pair of similarity s meets with probability
+1 - (1 - s**ROWS)**BANDS, which is 0.999 at 0.8. Every link is verified on
 the whole shingle sets. Within a bucket a search from member to member visits
 only those not reached yet: it connects all that similar pairs of the bucket
 connect, and emits fewer links than the bucket has members.
 
-Texts with equal shingle sets are one entry. Shuffled are 16 bytes a band and
-text, and shingle sets of the texts that share a bucket alone. The first
-``EARLY`` bands already connect most of what there is to connect; of the others
-only buckets that hold texts of several groups are looked into, for the rest
-could add nothing.
+Texts with equal shingle sets are one entry. Shuffled are 16 bytes a variant and
+fingerprint, 16 bytes a band and text, and shingle sets of the texts that share
+a bucket alone. Fingerprints and the first ``EARLY`` bands already connect most of
+what there is to connect; of the bands only buckets that hold texts of several
+groups are looked into, for the rest could add nothing.
 
 A worker holds one bucket's sets at a time, up to ``LARGE`` members and
 ``LARGE_BYTES``. The members of a larger bucket are each compared with its first
@@ -37,10 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import released, utf8
-from corpusmill.llm.simhash import SEED, _mix, grouped, one_of_each
+from corpusmill.llm.simhash import SEED, _mix, fingerprints_of, grouped, one_of_each
+from corpusmill.llm.simhash import links as fingerprint_links
+from corpusmill.operators.components import connected_components
 from corpusmill.session import stored
 
 WORDS = 5
+#: Bits in which the fingerprints of candidates differ at most.
+NEAR = 5
 BANDS, ROWS = 24, 6
 #: Bands that are looked into before the others.
 EARLY = 6
@@ -90,22 +98,36 @@ def band_keys(x: np.ndarray, level: int = 0, inside: int = 0) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, same, n, bands): texts of equal shingle sets have equal `same`; n is the set's size."""
+    """(doc_id, same, n, fp, bands): texts of equal shingle sets have equal `same`; n is the set's size, fp op9's fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, sizes, keys = [], [], []
-            for text in utf8(b.column(1)):
+            texts = utf8(b.column(1))
+            fps = fingerprints_of(texts)
+            for text in texts:
                 x = shingles_of(text)
                 names.append(_same(x))
                 sizes.append(len(x))
                 keys.append(band_keys(x))
             cuts = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(cuts, flat)], ["doc_id", "same", "n", "bands"])
+            cols = [b.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps.view(np.int64)), pa.ListArray.from_arrays(cuts, flat)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "same", "n", "fp", "bands"])
 
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return ids.mapInArrow(released(run), f"doc_id {ids.schema[0].dataType.simpleString()}, same long, n int, bands array<long>")
+    return ids.mapInArrow(released(run), f"doc_id {ids.schema[0].dataType.simpleString()}, same long, n int, fp long, bands array<long>")
+
+
+def by_fingerprint(sigs: DataFrame) -> DataFrame:
+    """(key, same, n): the sets of sigs(same, n, fp) whose fingerprints links of at most NEAR bits connect, if there are several."""
+    prints = stored(sigs.filter("n > 0").select("same", "n", "fp").distinct(), "near-prints")
+    roots = connected_components(fingerprint_links(prints.select("fp").distinct(), NEAR), "a", "b")
+    # fingerprints without a link may still be those of several sets
+    named = prints.join(roots.withColumnRenamed("id", "fp"), "fp", "left").select(F.coalesce("component", "fp").alias("key"), "same", "n").distinct()
+    named = stored(named, "near-named")
+    several = named.groupBy("key").agg(F.min("same").alias("a"), F.max("same").alias("b")).filter("a < b").select("key")
+    return named.join(several, "key")
 
 
 def _candidates(docs: DataFrame, firsts: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -239,6 +261,13 @@ def _links(members: DataFrame, sets: Callable[[DataFrame], DataFrame], large: in
     return found if not again.limit(1).count() else found.union(_links(again, sets, large, level + 1))
 
 
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members(key, same, n) of the buckets whose sets aren't known to be in one group yet."""
+    named = members.join(_labels(links), "same", "left").withColumn("group", F.coalesce("label", "same"))
+    apart = named.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a < b").select("key")
+    return _once(named.join(apart, "key", "left_semi").select("key", "same", "n"))
+
+
 def _once(members: DataFrame) -> DataFrame:
     """Of buckets with the same members one: copies that meet in many bands are compared once."""
     told = [F.count(F.lit(1)).alias("m"), F.bit_xor("same").alias("x"), F.bit_xor(F.xxhash64("same")).alias("y")]
@@ -263,19 +292,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stored(ends.filter("a < b").select("key"), "near-buckets")
     members = stored(banded.join(shared, "key").distinct(), "near-members")
 
-    texts = stored(_candidates(docs, firsts, members, id_col, text_col), "near-texts")
+    near = stored(by_fingerprint(sigs), "near-fingerprints")
+    texts = stored(_candidates(docs, firsts, members.select("same").union(near.select("same")), id_col, text_col), "near-texts")
 
     def sets(some: DataFrame) -> DataFrame:
         return _with_sets(texts, some)
 
-    early = stored(_once(members.filter(F.col("band") < EARLY)), "near-early")
-    links = _links(early, sets, large)
-    # of the other bands, buckets whose texts aren't known to be in one group yet
-    named = members.filter(F.col("band") >= EARLY).join(_labels(links), "same", "left").withColumn("group", F.coalesce("label", "same"))
-    open_ = named.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a < b").select("key")
-    late = stored(_once(named.join(open_, "key", "left_semi").select("key", "same", "n")), "near-late")
-    if late.limit(1).count():
-        links = links.union(_links(late, sets, large))
+    links = _links(near, sets, large)
+    for name, part in (("near-early", F.col("band") < EARLY), ("near-late", F.col("band") >= EARLY)):
+        left = stored(_open(members.filter(part), links), name)
+        if left.limit(1).count():
+            links = links.union(_links(left, sets, large))
     return grouped(sigs.select("doc_id", "same"), firsts, links, "same")
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from corpusmill.llm import neardup
+from corpusmill.llm import neardup, simhash
 
 
 def grams(text):
@@ -68,3 +68,31 @@ def test_odd_rows(spark):
     assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (3, 3), (3, 3), (None, 3), (None, None), (7, 7)], key=str)
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in neardup.dedup(df).collect()) == [(False, 1), (False, 3), (False, 7), (True, 0)]
     assert neardup.dedup(df.limit(0)).count() == 0
+
+
+def changed_end(seed, words):
+    """A text of 100 words and one that ends in other words."""
+    rnd = random.Random(seed)
+    a = [f"w{rnd.randrange(10**6)}" for _ in range(100)]
+    return " ".join(a), " ".join(a[: 100 - words] + [f"w{rnd.randrange(10**6)}" for _ in range(words)])
+
+
+def test_fingerprints_give_candidates(spark):
+    """A similar pair within NEAR bits that shares no MinHash bucket is linked; a pair within NEAR bits that isn't similar is not."""
+
+    def bits(pair):
+        x, y = simhash.fingerprints_of([t.encode() for t in pair]).tolist()
+        return (x ^ y).bit_count()
+
+    alike = changed_end(4668, 10)  # 86 of 106 shingles
+    x, y = (neardup.band_keys(neardup.shingles_of(t.encode())) for t in alike)
+    assert not set(x.tolist()) & set(y.tolist()) and bits(alike) <= neardup.NEAR
+    other = next(p for p in (changed_end(s, 14) for s in range(5000)) if bits(p) <= neardup.NEAR)  # 82 of 110
+    texts = [*alike, *other, "none of these", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sigs = neardup.signatures(df, "doc_id", "text")
+    found = {}
+    for r in neardup.by_fingerprint(sigs).join(sigs.select("doc_id", "same"), "same").collect():
+        found.setdefault(r.key, set()).add(r.doc_id)
+    assert sorted(map(sorted, found.values())) == [[0, 1], [2, 3]]
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5}
